@@ -376,7 +376,7 @@ def _event_stream(spark, d):
 
 def _drain(stream: DataFrame, spark: SparkSession, dedupe: bool) -> DataFrame:
     root = scratch_path(spark, "stream")
-    queries = J.run_stream(stream, root, dedupe=dedupe, once=True)
+    queries = J.run_stream(stream, root, dedupe=dedupe, once=True, files_per_hour=1)
     for query in queries:
         query.awaitTermination()
     return read_lake(spark, f"{root}/data")
@@ -396,7 +396,7 @@ def stream_errors(spark, d):
     schema = table(spark, d, "events").schema
     stream = damaged_events(J.read_events(spark, "parquet", f"{d}/events*.parquet", schema))
     root = scratch_path(spark, "stream")
-    for query in J.run_stream(stream, root, once=True):
+    for query in J.run_stream(stream, root, once=True, files_per_hour=1):
         query.awaitTermination()
     return spark.read.schema("event_id bigint, reason string").json(f"{root}/errors")
 

@@ -21,6 +21,10 @@ def event_subtype(name: Column) -> Column:
     return F.when(F.size(parts) > 2, F.get(parts, F.lit(1))).otherwise("")
 
 
+# White space of JSON.
+_BLANKS = " \t\r\n"
+
+
 def json_array(text: Column) -> Column:
     """Parse ``text`` as the content of a JSON array.
 
@@ -30,33 +34,37 @@ def json_array(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
 
-def only_object(array: Column, text: Column) -> Column:
-    """The one object that ``json_array(text)`` holds, as VARIANT, else null."""
-    first = F.try_variant_get(array, "$[0]", "variant")
-    alone = F.startswith(F.schema_of_variant(first), F.lit("OBJECT")) & F.try_variant_get(array, "$[1]", "variant").isNull()
+def is_one_object(array: Column, text: Column) -> Column:
+    """Whether ``text``, parsed as ``array = json_array(text)``, is a single JSON object."""
+    single = array.isNotNull() & F.try_variant_get(array, "$[1]", "variant").isNull()
+    braced = F.startswith(F.ltrim(text, F.lit(_BLANKS)), F.lit("{"))
     # A bracket of the text itself may have closed the array early. Such text
     # does not parse inside braces.
+    may_close = F.contains(text, F.lit("]")) & text.rlike(r"\}\s*\]")
     in_braces = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    whole = F.when(text.rlike(r"\}\s*\]"), in_braces.isNotNull()).otherwise(F.lit(True))
-    return F.when(alone & whole, first)
+    return single & braced & F.when(may_close, in_braces.isNotNull()).otherwise(F.lit(True))
+
+
+def field(array: Column, name: str, kind: str) -> Column:
+    """A field of the object in ``array``, null where absent or not of that kind."""
+    return F.try_variant_get(array, f"$[0].{name}", kind)
+
 
+def field_kind(array: Column, name: str) -> Column:
+    """The type of a field as its JSON value shows it, such as ``STRING``."""
+    return F.schema_of_variant(field(array, name, "variant"))
 
-def text_field(payload: Column, name: str) -> Column:
-    """A field of the payload as text, null where it is not a JSON string."""
-    field = F.try_variant_get(payload, f"$.{name}", "variant")
-    return F.when(F.schema_of_variant(field) == "STRING", F.try_variant_get(payload, f"$.{name}", "string"))
 
+def text_value(kind: Column, array: Column, name: str) -> Column:
+    """A field as text, null where it is not a JSON string."""
+    return F.when(kind == "STRING", field(array, name, "string"))
 
-def seconds_field(payload: Column, name: str) -> Column:
+
+def seconds_value(kind: Column, array: Column, name: str) -> Column:
     """A field holding epoch seconds: a number, or text of a whole number."""
-    path = f"$.{name}"
-    kind = F.schema_of_variant(F.try_variant_get(payload, path, "variant"))
-    text = F.try_variant_get(payload, path, "string")
-    number = F.try_variant_get(payload, path, "double")
     is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
-    is_whole_text = (kind == "STRING") & text.rlike(r"^\s*[+-]?\d+\s*$")
-    seconds = F.when(is_number | is_whole_text, number)
-    return F.when(seconds.between(MIN_SECOND, MAX_SECOND), seconds)
+    is_whole_text = (kind == "STRING") & field(array, name, "string").rlike(r"^\s*[+-]?\d+\s*$")
+    return F.when(is_number | is_whole_text, field(array, name, "double"))
 
 
 def whole_seconds(seconds: Column) -> Column:
@@ -64,11 +72,22 @@ def whole_seconds(seconds: Column) -> Column:
     return seconds.cast("bigint")
 
 
-def merged_payload(payload: Column, added: dict[str, Column]) -> Column:
-    """The payload as JSON text with ``added`` set, all other keys kept as they came."""
-    fields = F.try_variant_get(payload, "$", "map<string,variant>")
-    kept = F.map_filter(fields, lambda key, _: ~key.isin(*added))
+def merged_payload(array: Column, text: Column, added: dict[str, Column]) -> Column:
+    """The JSON object ``text`` with the text fields ``added`` set, all others kept.
+
+    The fields go before the closing brace. Only where the object has one of them
+    already is it taken apart and put together again.
+    """
+    head = F.rtrim(text, F.lit(_BLANKS))
+    head = F.substring(head, F.lit(1), F.length(head) - 1)
+    new_fields = F.to_json(F.struct(*[value.alias(name) for name, value in added.items()]))
+    appended = F.concat(head, F.lit(","), F.substring(new_fields, F.lit(2), F.length(new_fields)))
+
+    kept = F.map_filter(
+        F.try_variant_get(array, "$[0]", "map<string,variant>"), lambda key, _: ~key.isin(*added)
+    )
     extra = F.create_map(
         *[part for name, value in added.items() for part in (F.lit(name), value.cast("variant"))]
     )
-    return F.to_json(F.map_concat(kept, extra))
+    present = F.coalesce(*[field(array, name, "variant") for name in added]).isNotNull()
+    return F.when(present, F.to_json(F.map_concat(kept, extra))).otherwise(appended)

@@ -27,25 +27,32 @@ def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
 def parse_events(df: DataFrame, text: str = "value") -> DataFrame:
     """Add what enrichment needs of a JSON event: payload, name and time.
 
-    Adds ``payload`` (VARIANT), ``event_uuid``, ``event_name``, ``created_seconds``
-    and ``reason``, which is null for a good event.
+    Adds ``payload`` (VARIANT: an array holding the event), ``event_uuid``,
+    ``event_name``, ``created_seconds`` and ``reason``, null for a good event.
     """
     given, payload = F.col(text), F.col("payload")
-    parsed = _computed_once(df, _json=E.json_array(given))
-    parsed = _computed_once(parsed, payload=E.only_object(F.col("_json"), given)).drop("_json")
+    name_kind, time_kind = F.col("_name_kind"), F.col("_time_kind")
+    parsed = _computed_once(df, payload=E.json_array(given))
     parsed = _computed_once(
         parsed,
-        event_uuid=F.try_variant_get(payload, "$.event_uuid", "string"),
-        event_name=E.text_field(payload, "event_name"),
-        created_seconds=E.seconds_field(payload, "created_at"),
+        _is_object=E.is_one_object(payload, given),
+        _name_kind=E.field_kind(payload, "event_name"),
+        _time_kind=E.field_kind(payload, "created_at"),
     )
+    parsed = _computed_once(
+        parsed,
+        event_uuid=E.field(payload, "event_uuid", "string"),
+        event_name=E.text_value(name_kind, payload, "event_name"),
+        created_seconds=E.seconds_value(time_kind, payload, "created_at"),
+    )
+    in_range = F.col("created_seconds").between(E.MIN_SECOND, E.MAX_SECOND)
     reason = (
         F.when(given.isNull(), "no text")
-        .when(payload.isNull(), "not a JSON object")
+        .when(~F.col("_is_object"), "not a JSON object")
         .when(F.col("event_name").isNull(), "event_name is not a text")
-        .when(F.col("created_seconds").isNull(), "created_at is not a time")
+        .when(F.col("created_seconds").isNull() | ~in_range, "created_at is not a time")
     )
-    return parsed.withColumn(REASON, reason)
+    return parsed.withColumn(REASON, reason).drop("_is_object", "_name_kind", "_time_kind")
 
 
 def good(parsed: DataFrame) -> DataFrame:
@@ -89,7 +96,7 @@ def enrich_events(df: DataFrame, tz: str = "UTC", text: str = "value") -> DataFr
 def enrich_payload(df: DataFrame, tz: str = "UTC", text: str = "value") -> DataFrame:
     """Add ``enriched``: the event as JSON with the new fields, all others kept."""
     added = event_columns(F.col("event_name"), _local(tz))
-    return good(parse_events(df, text)).withColumn("enriched", E.merged_payload(F.col("payload"), added))
+    return good(parse_events(df, text)).withColumn("enriched", E.merged_payload(F.col("payload"), F.col(text), added))
 
 
 def rejected_events(df: DataFrame, text: str = "value") -> DataFrame:

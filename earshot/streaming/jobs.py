@@ -18,6 +18,7 @@ from earshot.streaming.enrich import enrich_events, lake_columns, rejected_event
 BUFFER_INTERVAL = "300 seconds"
 BUFFER_BYTES = "5m"
 REPLAY_WINDOW = "24 hours"
+FILES_PER_HOUR = 8
 
 
 def read_events(
@@ -55,10 +56,13 @@ def dedupe_stream(enriched: DataFrame, window: str = REPLAY_WINDOW) -> DataFrame
 def spread_for_writing(enriched: DataFrame, files_per_hour: int) -> DataFrame:
     """Send each hour to ``files_per_hour`` writers instead of to all of them.
 
-    Events of an hour are spread by their id, so a busy hour is not one task.
+    Events of an hour are spread by their id, so a busy hour is not one task. The
+    number of tasks is stated, because Spark would otherwise merge them by size,
+    while the cost of such a write lies in the number of files.
     """
+    writers = int(enriched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.xxhash64("event_uuid"), F.lit(files_per_hour))
-    return enriched.repartition(*S.PARTITION_KEYS, slot)
+    return enriched.repartition(writers, *S.PARTITION_KEYS, slot)
 
 
 def _trigger(once: bool, interval: str) -> dict:
@@ -71,9 +75,13 @@ def write_lake(
     checkpoint: str,
     once: bool = False,
     interval: str = BUFFER_INTERVAL,
-    files_per_hour: int | None = None,
+    files_per_hour: int | None = FILES_PER_HOUR,
 ) -> StreamingQuery:
-    """Start writing enriched events as Snappy Parquet by year, month, day and hour."""
+    """Start writing enriched events as Snappy Parquet by year, month, day and hour.
+
+    Each trigger writes up to ``files_per_hour`` files per hour of event time;
+    with ``None`` every task writes its own.
+    """
     rows = lake_columns(enriched)
     if files_per_hour:
         rows = spread_for_writing(rows, files_per_hour)
@@ -106,7 +114,7 @@ def run_stream(
     dedupe: bool = False,
     once: bool = False,
     interval: str = BUFFER_INTERVAL,
-    files_per_hour: int | None = None,
+    files_per_hour: int | None = FILES_PER_HOUR,
 ) -> list[StreamingQuery]:
     """Start both queries on a stream of JSON events in column ``value``.
 
