@@ -1,4 +1,10 @@
-"""Referential checks of a fact table against its parents."""
+"""Referential checks of a fact table against its parents.
+
+All checks work on the distinct keys of the fact, which combine on the map side,
+and then touch the rows of the fact only with the keys that lack a parent. A key
+that many rows share is looked up once, and the fact is not shuffled as long as
+the measured number of such keys allows broadcasting them.
+"""
 
 from __future__ import annotations
 
@@ -8,30 +14,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.errors import OrphanRowsError
+from earshot.operators.sizing import broadcast_within, measured
+from earshot.operators.validation import REASONS
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
-    """Rows of ``child`` whose ``column`` is set but has no parent."""
-    keys = parent.select(F.col(parent_key or column).alias(column))
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
-
+def lost_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
+    """Distinct values of ``column`` without a parent. A null refers to nothing, so it is not lost."""
+    keys = child.select(column).where(F.col(column).isNotNull()).distinct()
+    return keys.join(parent.select(F.col(parent_key or column).alias(column)), column, "left_anti")
 
-def broken_references(child: DataFrame, parents: Mapping[str, DataFrame]) -> list[str]:
-    """Columns of ``child`` with at least one orphan.
 
-    Works on the distinct keys: they combine on the map side, so a key that many
-    rows share is checked once.
-    """
-    return [
-        column
-        for column, parent in parents.items()
-        if not orphans(child.select(column).distinct(), column, parent).isEmpty()
-    ]
+def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
+    """Rows of ``child`` whose ``column`` is set but has no parent."""
+    lost, n = measured(lost_keys(child, column, parent, parent_key))
+    return child.join(broadcast_within(lost, n), column, "left_semi").select(*child.columns)
 
 
 def require_parents(name: str, child: DataFrame, parents: Mapping[str, DataFrame]) -> None:
     """Raise if any row of ``child`` lacks a parent."""
-    broken = broken_references(child, parents)
+    broken = [c for c, parent in parents.items() if not lost_keys(child, c, parent).isEmpty()]
     if broken:
         raise OrphanRowsError(name, broken)
 
@@ -40,14 +41,14 @@ def quarantine_orphans(
     child: DataFrame, parents: Mapping[str, DataFrame]
 ) -> tuple[DataFrame, DataFrame]:
     """Split into rows with all parents, and rows lacking some with ``reasons``."""
-    judged = child
+    judged, reasons = child, []
     for column, parent in parents.items():
-        # distinct on both sides: the lookup table has one row per key
-        lost = orphans(child.select(column).distinct(), column, parent)
-        judged = judged.join(lost.withColumn(f"_lost_{column}", F.lit(True)), column, "left")
-    reasons = F.array_compact(
-        F.array(*[F.when(F.col(f"_lost_{c}"), F.lit(f"{c}: no parent")) for c in parents])
-    )
-    judged = judged.withColumn("reasons", reasons).select(*child.columns, "reasons")
-    kept = judged.where(F.size("reasons") == 0).drop("reasons")
-    return kept, judged.where(F.size("reasons") > 0)
+        lost, n = measured(lost_keys(child, column, parent))
+        if n == 0:
+            continue
+        flag = f"_lost_{column}"
+        judged = judged.join(broadcast_within(lost.withColumn(flag, F.lit(True)), n), column, "left")
+        reasons.append(F.when(F.col(flag), F.lit(f"{column}: no parent")))
+    found = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+    judged = judged.withColumn(REASONS, found).select(*child.columns, REASONS)
+    return judged.where(F.size(REASONS) == 0).drop(REASONS), judged.where(F.size(REASONS) > 0)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,17 +35,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder once and go on from the written table.
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a path in the shared folder and go on from the written table.
 
     It cuts the lineage, survives the loss of executors, and later steps read
     only the columns they need.
     """
-    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(path: str) -> None:
+    """Delete a scratch path of ours and all below it."""
+    is_uri = "://" in path or path.startswith("file:")
+    system, local = fs.FileSystem.from_uri(path) if is_uri else (fs.LocalFileSystem(), path)
+    if system.get_file_info(local).type == fs.FileType.Directory:
+        system.delete_dir(local)
+
+
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
     """Compute a summary once; return it with its number of rows."""
     shared_dir(df.sparkSession)

@@ -25,6 +25,7 @@ def new_rows(
     sent to the target, which is then filtered where it lies instead of being
     shuffled; other batches meet the target in a shuffled anti-join.
     """
+    columns = batch.columns
     for column in unique:
         if ordinal is not None:
             batch = keep_first(batch, column, [ordinal])
@@ -32,7 +33,7 @@ def new_rows(
         if batch_rows is not None and batch_rows <= BROADCAST_ROWS:
             taken = taken.join(F.broadcast(batch.select(column)), column, "left_semi")
         batch = batch.join(taken, column, "left_anti")
-    return batch
+    return batch.select(*columns)
 
 
 def append_by_name(rows: DataFrame, table: str) -> None:

@@ -14,6 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from earshot.functions.calendar import listen_moment, within_day
 from earshot.operators.dedupe import keep_first
@@ -52,12 +53,15 @@ def users_on_day(
 
     The day is a range of ``listen_time``, which both scans can skip by.
     """
-    on_day = within_day(F.col("listen_time"), listens.schema["listen_time"].dataType, day)
+    dtype = listens.schema["listen_time"].dataType
+    on_day = within_day(F.col("listen_time"), dtype, day)
     found = listens.where(on_day)
     if time is not None:
         parts = (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
-        in_range = within_day(F.col("listen_time"), time.schema["listen_time"].dataType, day)
-        found = found.join(time.where(in_range & parts).select("listen_time"), "listen_time")
+        times = time.where(on_day & parts).select("listen_time")
+        if isinstance(dtype, T.LongType):
+            times = F.broadcast(times.distinct())  # whole seconds: a day has at most 86,400
+        found = found.join(times, "listen_time", "left_semi")
     return distinct_total(found, "user_id", approximate).withColumnRenamed("n", "user_count")
 
 

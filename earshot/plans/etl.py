@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from earshot import schemas as S
 from earshot.operators.dedupe import distinct_first
-from earshot.operators.sizing import staged
+from earshot.operators.sizing import discard, scratch_path, staged
 from earshot.operators.validation import check_required, raise_missing, rejected_rows, valid_rows
 from earshot.plans.load import LoadResult, load
 from earshot.plans.rules import STAR_RULES
@@ -47,9 +47,21 @@ def rejects(listens: DataFrame, rules: Mapping = STAR_RULES) -> dict[str, DataFr
 
 @dataclass(frozen=True)
 class EtlResult:
+    """What a run did. ``rejected`` and ``load.orphans`` read the staged listens,
+    which stay in ``scratch`` until ``discard`` is called."""
+
     extracted: int
     load: LoadResult
-    rejected: Mapping[str, DataFrame]
+    listens: DataFrame
+    rules: Mapping
+    scratch: str
+
+    def rejected(self) -> dict[str, DataFrame]:
+        """Rows that validation dropped, per table, with reasons."""
+        return rejects(self.listens, self.rules)
+
+    def discard(self) -> None:
+        discard(self.scratch)
 
 
 def run_etl(
@@ -64,25 +76,29 @@ def run_etl(
     """Extract, transform and load one log.
 
     The log is parsed once: its needed fields are staged as Parquet, and the
-    four frames read only their own columns from there. ``rejected`` is lazy.
+    four frames read only their own columns from there.
     """
-    logger.info("Extracting '%s'", path)
-    raw, seen = observed(extract(spark, path, schema), "extracted")
-    if schema is None:
-        check_required(raw.schema, S.REQUIRED_PATHS)
-    listens = staged(raw, "listens")
-    extracted = seen.get["rows"]
-    if schema is not None:
-        raise_missing(absent_paths(listens, raw_lines(spark, path), S.REQUIRED_PATHS))
-    logger.info("Extracted '%s', rows: %d", path, extracted)
-
-    frames = {name: staged(df, name) for name, df in transform(listens, rules).items()}
-    result = load(spark, frames, database, orphans, buckets)
+    scratch = scratch_path(spark, "etl")
+    try:
+        logger.info("Extracting '%s'", path)
+        raw, seen = observed(extract(spark, path, schema), "extracted")
+        listens = staged(raw, f"{scratch}/listens")
+        extracted = seen.get["rows"]
+        logger.info("Extracted '%s', rows: %d", path, extracted)
+        if schema is not None:
+            raise_missing(absent_paths(listens, raw_lines(spark, path), S.REQUIRED_PATHS))
+
+        frames = {name: staged(df, f"{scratch}/{name}") for name, df in transform(listens, rules).items()}
+        result = load(spark, frames, database, orphans, buckets)
+    except Exception:
+        logger.exception("Failed to process '%s'", path)
+        discard(scratch)
+        raise
     logger.info("Loaded into '%s': %s", database, dict(result.offered))
-    return EtlResult(extracted, result, rejects(listens, rules))
+    return EtlResult(extracted, result, listens, rules, scratch)
 
 
 if __name__ == "__main__":
     logging.basicConfig(level="INFO")
     session = SparkSession.builder.appName("listening-etl").enableHiveSupport().getOrCreate()
-    run_etl(session, *sys.argv[1:3])
+    run_etl(session, *sys.argv[1:3]).discard()

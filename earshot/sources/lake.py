@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from earshot import schemas as S
 from earshot.operators.dedupe import keep_first
-from earshot.operators.sizing import staged
+from earshot.operators.sizing import discard, scratch_path, staged
 from earshot.operators.upsert import new_rows
 
 LAKE_TABLE = T.StructType(
@@ -55,10 +55,14 @@ def compact(spark: SparkSession, lake: str, target: str, table: str) -> int:
     """
     register_lake(spark, table, target)
     fresh = new_rows(dedupe_events(read_lake(spark, lake)), spark.table(table), ["event_uuid"])
-    fresh = staged(fresh, "compaction")
-    appended = fresh.count()
-    if appended:
-        write_partitioned(fresh, target)
-        spark.catalog.recoverPartitions(table)
-        spark.catalog.refreshTable(table)
+    scratch = scratch_path(spark, "compaction")
+    try:
+        fresh = staged(fresh, scratch)
+        appended = fresh.count()
+        if appended:
+            write_partitioned(fresh, target)
+            spark.catalog.recoverPartitions(table)
+            spark.catalog.refreshTable(table)
+    finally:
+        discard(scratch)
     return appended

@@ -13,7 +13,9 @@ def session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .appName("earshot-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "4")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", "/tmp/earshot-warehouse")
