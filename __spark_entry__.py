@@ -28,6 +28,7 @@ from earshot.operators.upsert import new_rows
 from earshot.operators.validation import Rule, RuleSet, not_blank, not_null, rejected_rows, valid_rows
 from earshot.plans import analyses as A
 from earshot.plans.etl import rejects, transform
+from earshot.plans.sql import run_sql
 from earshot.plans.star import calendar_columns
 from earshot.sources.lake import dedupe_events, read_lake, write_partitioned
 from earshot.sources.listens import ORDINAL, flatten
@@ -440,6 +441,14 @@ def q_daily_active_7day(spark, d):
     return A.daily_active_7day(listens(spark, d), users(spark, d))
 
 
+def _sql(name: str, **args):
+    def query(spark, d):
+        tables = {"user_listens": listens(spark, d), "users": users(spark, d), "time": times(spark, d)}
+        return run_sql(spark, name, tables, **args)
+
+    return query
+
+
 # --- contract ------------------------------------------------------------------------------
 
 
@@ -503,6 +512,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_top_days_joined": q_top_days_joined,
         "q_daily_active": q_daily_active,
         "q_daily_active_7day": q_daily_active_7day,
+        "sql_top_users": _sql("top_users"),
+        "sql_users_on_day": _sql("users_on_day", year=DAY.year, month=DAY.month, day=DAY.day),
+        "sql_latest_song": _sql("latest_song"),
+        "sql_first_song": _sql("first_song"),
+        "sql_top_days": _sql("top_days"),
+        "sql_daily_active": _sql("daily_active"),
+        "sql_daily_active_7day": _sql("daily_active_7day"),
     }
 
 
@@ -561,6 +577,24 @@ def oracle_sql() -> dict[str, str]:
         "QUALIFY dense_rank() OVER (PARTITION BY user_id ORDER BY n DESC) < 4"
     )
 
+    top_users = (
+        "SELECT c_name AS user_name FROM customer WHERE c_custkey IN (SELECT user_id FROM events "
+        "GROUP BY user_id ORDER BY count(event_id) DESC, user_id LIMIT 10)"
+    )
+    active_by_listen = (
+        "SELECT active_date, count(*) OVER (PARTITION BY active_date) AS number_of_active_users, "
+        f"count(*) OVER (PARTITION BY active_date) / {_USER_COUNT} * 100 AS percentage_active_users "
+        "FROM (SELECT DISTINCT user_id, today AS active_date FROM (SELECT user_id, CAST(ts AS DATE) AS today, "
+        "lag(CAST(ts AS DATE), 6) OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE)) AS earlier FROM events) "
+        "WHERE today - earlier = 6)"
+    )
+    active_by_day = (
+        "SELECT today AS active_date, count(*) AS number_of_active_users, "
+        f"count(*) / {_USER_COUNT} * 100 AS percentage_active_users "
+        "FROM (SELECT user_id, d AS today, lag(d, 6) OVER (PARTITION BY user_id ORDER BY d) AS earlier "
+        f"FROM ({_PER_DAY})) WHERE today - earlier = 6 GROUP BY today"
+    )
+
     def edge_song(pick: str) -> str:
         return (
             f"SELECT {pick} AS song_name, max(c_name) AS user_name "
@@ -686,27 +720,20 @@ def oracle_sql() -> dict[str, str]:
         "stream_enrich": _lake_sql(),
         "stream_dedupe": f"SELECT CAST(event_id AS VARCHAR) AS event_uuid, {_TYPE} AS event_type FROM events",
         "stream_errors": _ERRORS,
-        "q_top_users": (
-            "SELECT c_name AS user_name FROM customer WHERE c_custkey IN (SELECT user_id FROM events "
-            "GROUP BY user_id ORDER BY count(event_id) DESC, user_id LIMIT 10)"
-        ),
+        "q_top_users": top_users,
         "q_users_on_day": on_day,
         "q_users_on_day_joined": on_day,
         "q_user_song": edge_song("first(event_type ORDER BY ts DESC, event_id)"),
         "q_user_first_song": edge_song("first(event_type ORDER BY ts, event_id)"),
         "q_top_days": best_days,
         "q_top_days_joined": best_days,
-        "q_daily_active": (
-            "SELECT active_date, count(*) OVER (PARTITION BY active_date) AS number_of_active_users, "
-            f"count(*) OVER (PARTITION BY active_date) / {_USER_COUNT} * 100 AS percentage_active_users "
-            "FROM (SELECT DISTINCT user_id, today AS active_date FROM (SELECT user_id, CAST(ts AS DATE) AS today, "
-            "lag(CAST(ts AS DATE), 6) OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE)) AS earlier FROM events) "
-            "WHERE today - earlier = 6)"
-        ),
-        "q_daily_active_7day": (
-            "SELECT today AS active_date, count(*) AS number_of_active_users, "
-            f"count(*) / {_USER_COUNT} * 100 AS percentage_active_users "
-            "FROM (SELECT user_id, d AS today, lag(d, 6) OVER (PARTITION BY user_id ORDER BY d) AS earlier "
-            f"FROM ({_PER_DAY})) WHERE today - earlier = 6 GROUP BY today"
-        ),
+        "q_daily_active": active_by_listen,
+        "q_daily_active_7day": active_by_day,
+        "sql_top_users": top_users,
+        "sql_users_on_day": on_day,
+        "sql_latest_song": edge_song("first(event_type ORDER BY ts DESC, event_id)"),
+        "sql_first_song": edge_song("first(event_type ORDER BY ts, event_id)"),
+        "sql_top_days": best_days,
+        "sql_daily_active": active_by_listen,
+        "sql_daily_active_7day": active_by_day,
     }

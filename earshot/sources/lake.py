@@ -6,27 +6,32 @@ writes there. Analysts use the compacted table, which is written from it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from earshot import schemas as S
 from earshot.operators.dedupe import keep_first
 from earshot.operators.sizing import discard, scratch_path, staged
-from earshot.operators.upsert import new_rows
+from earshot.operators.upsert import append_by_name, new_rows
 
 LAKE_TABLE = T.StructType(
     [*S.LAKE_EVENT.fields, *[T.StructField(k, T.IntegerType()) for k in S.PARTITION_KEYS]]
 )
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Write as Snappy Parquet by year, month, day and hour.
+def by_hour(df: DataFrame) -> DataFrame:
+    """Gather the rows of an hour for writing.
 
-    The rebalance gathers the rows of an hour into few files, and at run time
-    splits an hour that is too large for one.
+    The rebalance brings an hour into few files, and at run time splits an hour
+    that is too large for one.
     """
-    rebalanced = df.hint("rebalance", *S.PARTITION_KEYS)
-    rebalanced.write.mode(mode).partitionBy(*S.PARTITION_KEYS).option("compression", "snappy").parquet(path)
+    return df.hint("rebalance", *S.PARTITION_KEYS)
+
+
+def write_partitioned(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Write as Snappy Parquet by year, month, day and hour."""
+    writer = by_hour(df).write.mode(mode).partitionBy(*S.PARTITION_KEYS)
+    writer.option("compression", "snappy").parquet(path)
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
@@ -39,30 +44,40 @@ def dedupe_events(events: DataFrame) -> DataFrame:
     return keep_first(events, "event_uuid", ["created_at", "event_name"])
 
 
-def register_lake(spark: SparkSession, table: str, path: str) -> None:
-    """Create the external table over ``path`` if absent, and pick up its partitions."""
+def create_lake_table(spark: SparkSession, table: str, path: str) -> None:
+    """Create the external table over ``path`` if absent."""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({S.ddl(LAKE_TABLE)}) USING parquet "
         f"OPTIONS (compression 'snappy') PARTITIONED BY ({', '.join(S.PARTITION_KEYS)}) LOCATION '{path}'"
     )
+
+
+def register_lake(spark: SparkSession, table: str, path: str) -> None:
+    """Create the table over data that is there, and pick up its partitions."""
+    create_lake_table(spark, table, path)
     spark.catalog.recoverPartitions(table)
 
 
-def compact(spark: SparkSession, lake: str, target: str, table: str) -> int:
+def compact(
+    spark: SparkSession, lake: str, target: str, table: str, where: Column | str | None = None
+) -> int:
     """Append the lake's new events, without repeats, to the table at ``target``.
 
-    Returns the number of events appended. Running it again appends nothing.
+    ``where`` restricts the part of the lake to take in, such as the hours since
+    the last run; the ids are compared with the whole table in any case. Returns
+    the number of events appended. Running it again appends nothing.
     """
-    register_lake(spark, table, target)
-    fresh = new_rows(dedupe_events(read_lake(spark, lake)), spark.table(table), ["event_uuid"])
+    create_lake_table(spark, table, target)
+    events = read_lake(spark, lake)
+    if where is not None:
+        events = events.where(where)
+    fresh = new_rows(dedupe_events(events), spark.table(table), ["event_uuid"])
     scratch = scratch_path(spark, "compaction")
     try:
         fresh = staged(fresh, scratch)
         appended = fresh.count()
         if appended:
-            write_partitioned(fresh, target)
-            spark.catalog.recoverPartitions(table)
-            spark.catalog.refreshTable(table)
+            append_by_name(by_hour(fresh), table)
     finally:
         discard(scratch)
     return appended

@@ -7,6 +7,8 @@ costs less than giving up exactly-once with one ``foreachBatch``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,6 +113,7 @@ def run_stream(
     events: DataFrame,
     root: str,
     tz: str = "UTC",
+    processor: Callable[[DataFrame], DataFrame] | None = None,
     dedupe: bool = False,
     once: bool = False,
     interval: str = BUFFER_INTERVAL,
@@ -120,9 +123,10 @@ def run_stream(
 
     Data goes to ``<root>/data``, errors to ``<root>/errors``, and the state of
     the queries to ``<root>/checkpoints``. With ``once`` they process what is
-    there and stop.
+    there and stop. ``processor`` replaces ``enrich_events``; it turns the raw
+    events into rows of the lake table with their partition keys.
     """
-    enriched = enrich_events(events, tz)
+    enriched = events.transform(processor or (lambda df: enrich_events(df, tz)))
     if dedupe:
         enriched = dedupe_stream(enriched)
     return [

@@ -4,7 +4,7 @@ import pytest
 from fixtures import EVENT, rows
 
 from earshot import schemas as S
-from earshot.sources.lake import compact, read_lake
+from earshot.sources.lake import compact, read_lake, register_lake, write_partitioned
 from earshot.streaming.enrich import enrich_events, rejected_events
 from earshot.streaming.jobs import read_events, run_stream, spread_for_writing
 
@@ -79,9 +79,23 @@ def test_compaction_and_catalog(spark, tmp_path):
     assert [r[0] for r in rows(spark.table(table))] == ["id-0", "id-1", "id-2"]
     assert len(spark.sql(f"SHOW PARTITIONS {table}").collect()) == 2
     assert spark.table(table).schema.names == [*S.LAKE_EVENT.names, *S.PARTITION_KEYS]
+    # one file per hour and compaction: 17 and 18 h first, then 18 h again
+    assert len(list((tmp_path / "compacted").rglob("*.snappy.parquet"))) == 3
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_existing_lake_gets_a_table(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS lake_events")
+    path = str(tmp_path / "lake")
+    texts = spark.createDataFrame([(json.dumps(event(i)),) for i in range(4)], "value string")
+    write_partitioned(enrich_events(texts), path)
+    register_lake(spark, "lake_events", path)
+    assert rows(spark.table("lake_events")) == rows(enrich_events(texts))
+    assert len(spark.sql("SHOW PARTITIONS lake_events").collect()) == 3
+    assert "lake_events" in [t.name for t in spark.catalog.listTables()]
+    spark.sql("DROP TABLE lake_events")
+
+
 def test_spread_splits_an_hour_over_writers(spark):
     one_hour = spark.range(400).selectExpr(
         "cast(id as string) as event_uuid", "2024 as year", "4 as month", "7 as day", "17 as hour"
@@ -91,6 +105,14 @@ def test_spread_splits_an_hour_over_writers(spark):
     assert spread_for_writing(one_hour, 1).selectExpr("spark_partition_id() as p").distinct().count() == 1
 
 
+def test_own_processor(spark, tmp_path):
+    source, root = tmp_path / "in", tmp_path / "out"
+    put(source, "1.json", [event(0), event(1, "x:y")])
+    only_named = lambda df: enrich_events(df).where("event_subtype <> ''")
+    drain(spark, source, root, processor=only_named)
+    assert [r[0] for r in lake(spark, root)] == ["id-0"]
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_events(spark, "kafka", subscribe="events")
