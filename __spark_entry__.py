@@ -27,7 +27,7 @@ from earshot.operators.union import union_by_name
 from earshot.operators.upsert import new_rows
 from earshot.operators.validation import Rule, RuleSet, not_blank, not_null, rejected_rows, valid_rows
 from earshot.plans import analyses as A
-from earshot.plans.etl import rejects, transform
+from earshot.plans.etl import rejected_table, transform, valid_table
 from earshot.plans.sql import run_sql
 from earshot.plans.star import calendar_columns
 from earshot.sources.lake import dedupe_events, read_lake, write_partitioned
@@ -126,23 +126,23 @@ def damaged_events(events: DataFrame) -> DataFrame:
 
 
 def dim_users(spark, d):
-    return transform(raw_listens(spark, d))["users"].select("user_id", "user_name")
+    return valid_table(raw_listens(spark, d), "users").select("user_id", "user_name")
 
 
 def dim_artists(spark, d):
-    return transform(raw_listens(spark, d))["artists"].select("artist_id", "artist_name")
+    return valid_table(raw_listens(spark, d), "artists").select("artist_id", "artist_name")
 
 
 def dim_time(spark, d):
-    return transform(raw_listens(spark, d))["time"].select(*S.TIME.names)
+    return valid_table(raw_listens(spark, d), "time").select(*S.TIME.names)
 
 
 def fact_listens(spark, d):
-    return transform(raw_listens(spark, d))["user_listens"].select(*S.USER_LISTENS.names)
+    return valid_table(raw_listens(spark, d), "user_listens").select(*S.USER_LISTENS.names)
 
 
 def fact_rejects(spark, d):
-    bad = rejects(raw_listens(spark, d))["user_listens"]
+    bad = rejected_table(raw_listens(spark, d), "user_listens")
     return bad.select("listen_id", F.array_join("reasons", "; ").alias("reasons"))
 
 

@@ -70,6 +70,15 @@ def listen_moment(listen_time: Column, dtype: T.DataType) -> Column:
     return wall_clock(listen_time)
 
 
+def newest_first(listen_time: Column, dtype: T.DataType) -> Column:
+    """A value whose ascending order runs from the newest time to the oldest."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.expr(_EPOCH) - listen_time
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_seconds(F.lit(0)) - listen_time
+    return -listen_time
+
+
 def within_day(listen_time: Column, dtype: T.DataType, day: date) -> Column:
     """Half-open range predicate for one UTC day.
 

@@ -16,8 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from earshot.functions.calendar import listen_moment, within_day
-from earshot.operators.dedupe import keep_first
+from earshot.functions.calendar import listen_moment, newest_first, within_day
+from earshot.operators.dedupe import first_values
 from earshot.operators.grouping import distinct_total, group_count, percent_of
 
 SLICES = 1024
@@ -65,19 +65,18 @@ def users_on_day(
     return distinct_total(found, "user_id", approximate).withColumnRenamed("n", "user_count")
 
 
-def _song_per_user(listens: DataFrame, users: DataFrame, order) -> DataFrame:
-    picked = keep_first(listens.select("user_id", "song_name", "listen_time", "listen_id"), "user_id", order)
-    return picked.join(users, "user_id").select("song_name", "user_name")
-
-
 def latest_song(listens: DataFrame, users: DataFrame) -> DataFrame:
     """Each user's most recent song, which is what the original query returns."""
-    return _song_per_user(listens, users, [F.desc("listen_time"), F.asc("listen_id")])
+    dtype = listens.schema["listen_time"].dataType
+    order = [newest_first(F.col("listen_time"), dtype), F.col("listen_id")]
+    picked = first_values(listens, "user_id", order, ["song_name"])
+    return picked.join(users, "user_id").select("song_name", "user_name")
 
 
 def first_song(listens: DataFrame, users: DataFrame) -> DataFrame:
     """Each user's first song, which is what the question asks for."""
-    return _song_per_user(listens, users, [F.asc("listen_time"), F.asc("listen_id")])
+    picked = first_values(listens, "user_id", [F.col("listen_time"), F.col("listen_id")], ["song_name"])
+    return picked.join(users, "user_id").select("song_name", "user_name")
 
 
 def top_days(listens: DataFrame, time: DataFrame | None = None, ranks: int = 3) -> DataFrame:

@@ -20,7 +20,7 @@ from earshot.operators.sizing import discard, scratch_path, staged
 from earshot.operators.validation import check_required, raise_missing, rejected_rows, valid_rows
 from earshot.plans.load import LoadResult, load
 from earshot.plans.rules import STAR_RULES
-from earshot.plans.star import star_frames
+from earshot.plans.star import STAR_FRAMES
 from earshot.sources.listens import ORDINAL, absent_paths, extract, raw_lines
 
 logger = logging.getLogger(__name__)
@@ -32,17 +32,23 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
-def transform(listens: DataFrame, rules: Mapping = STAR_RULES) -> dict[str, DataFrame]:
-    """Split raw listens into the four valid frames, each with its ordinal."""
-    check_required(listens.schema, S.REQUIRED_PATHS)
-    return {name: valid_rows(df, rules[name], ORDINAL) for name, df in star_frames(listens).items()}
+def valid_table(listens: DataFrame, name: str, rules: Mapping = STAR_RULES) -> DataFrame:
+    """The valid rows of one star table, with their ordinals."""
+    return valid_rows(STAR_FRAMES[name](listens), rules[name], ORDINAL)
+
 
+def rejected_table(listens: DataFrame, name: str, rules: Mapping = STAR_RULES) -> DataFrame:
+    """The rows that ``valid_table`` drops, with reasons. Exact copies are no rejects."""
+    frame = STAR_FRAMES[name](listens)
+    if name == "user_listens":  # the other frames are distinct already
+        frame = distinct_first(frame, ORDINAL)
+    return rejected_rows(frame, rules[name], ORDINAL)
 
-def rejects(listens: DataFrame, rules: Mapping = STAR_RULES) -> dict[str, DataFrame]:
-    """Rows that ``transform`` drops, per table, with reasons. Exact copies are no rejects."""
-    frames = star_frames(listens)
-    frames["user_listens"] = distinct_first(frames["user_listens"], ORDINAL)
-    return {name: rejected_rows(df, rules[name], ORDINAL) for name, df in frames.items()}
+
+def transform(listens: DataFrame, rules: Mapping = STAR_RULES) -> dict[str, DataFrame]:
+    """Split raw listens into the four valid tables."""
+    check_required(listens.schema, S.REQUIRED_PATHS)
+    return {name: valid_table(listens, name, rules) for name in STAR_FRAMES}
 
 
 @dataclass(frozen=True)
@@ -58,7 +64,7 @@ class EtlResult:
 
     def rejected(self) -> dict[str, DataFrame]:
         """Rows that validation dropped, per table, with reasons."""
-        return rejects(self.listens, self.rules)
+        return {name: rejected_table(self.listens, name, self.rules) for name in STAR_FRAMES}
 
     def discard(self) -> None:
         discard(self.scratch)

@@ -51,11 +51,10 @@ def listens_frame(listens: DataFrame) -> DataFrame:
     return fact.withColumn("user_id", hash_key(F.col("user_name"))).drop("user_name")
 
 
-def star_frames(listens: DataFrame) -> dict[str, DataFrame]:
-    """The four frames before validation, with their ordinals."""
-    return {
-        "users": users_frame(listens),
-        "artists": artists_frame(listens),
-        "time": time_frame(listens),
-        "user_listens": listens_frame(listens),
-    }
+# Each table's frame before validation, with its ordinal.
+STAR_FRAMES = {
+    "users": users_frame,
+    "artists": artists_frame,
+    "time": time_frame,
+    "user_listens": listens_frame,
+}

@@ -87,6 +87,15 @@ def test_songs(star):
         assert rows(analysis(fact, users)) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_songs_by_timestamp(spark, star, kind):
+    fact, users, _, _ = star
+    stamped = fact.withColumn("listen_time", F.timestamp_seconds("listen_time").cast(kind))
+    assert rows(A.latest_song(stamped, users)) == rows(A.latest_song(fact, users))
+    assert rows(A.first_song(stamped, users)) == rows(A.first_song(fact, users))
+    assert rows(A.users_on_day(stamped, dt.date(2019, 1, 5))) == rows(A.users_on_day(fact, dt.date(2019, 1, 5)))
+
+
 def test_users_on_day(star):
     fact, _, time, listens = star
     expected = len({u for _, u, t, _ in listens if day(t) == dt.date(2019, 1, 5)})
@@ -119,7 +128,7 @@ def test_plans(spark, star, tmp_path):
     assert "ReadSchema: struct<listen_id:string,user_id:string>" in top
 
     song = plan_of(A.latest_song(fact, users))
-    assert song.count("WindowGroupLimit") == 2  # before and after the exchange
+    assert "partial_min" in song  # one row per user leaves each task
 
     days = plan_of(A.top_days(fact))
     assert "partial_count" in days[days.index("WindowGroupLimit"):]

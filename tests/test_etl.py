@@ -17,7 +17,7 @@ from earshot import schemas as S
 from earshot.errors import MissingDataException, OrphanRowsError
 from earshot.operators.integrity import orphans, quarantine_orphans
 from earshot.operators.upsert import new_rows
-from earshot.plans.etl import rejects, run_etl, transform
+from earshot.plans.etl import rejected_table, run_etl, transform
 from earshot.plans.load import load
 from earshot.plans.rules import STAR_RULES
 from earshot.sources.listens import ORDINAL, extract
@@ -134,7 +134,7 @@ def test_first_name_of_an_artist_stays(spark, tmp_path):
     data = [listen(i, f"l{i}", "s", artist_name=n) for i, n in enumerate(["B", "A", "B", "C"])]
     listens = extract(spark, write_text(tmp_path / "x.txt", lines(data)))
     assert rows(transform(listens)["artists"].select(*S.ARTISTS.names)) == [(ARTIST, "B")]
-    names = rows(rejects(listens)["artists"].select("artist_name"))
+    names = rows(rejected_table(listens, "artists").select("artist_name"))
     assert names == [("A",), ("C",)]
 
 
