@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,13 +15,13 @@ MAX_SECOND = 253402300799
 
 def event_type(name: Column) -> Column:
     """First part of ``a:b[:c...]``, empty where there is no colon."""
-    return F.when(F.contains(name, F.lit(":")), F.split_part(name, F.lit(":"), F.lit(1))).otherwise("")
+    return F.when(F.contains(name, F.lit(":")), F.substring_index(name, ":", 1)).otherwise("")
 
 
 def event_subtype(name: Column) -> Column:
     """Second part where there are at least three, else empty."""
-    parts = F.split(name, ":")
-    return F.when(F.size(parts) > 2, F.get(parts, F.lit(1))).otherwise("")
+    first_two = F.substring_index(name, ":", 2)
+    return F.when(first_two != name, F.substring_index(first_two, ":", -1)).otherwise("")
 
 
 # White space of JSON.
@@ -75,19 +78,19 @@ def whole_seconds(seconds: Column) -> Column:
 def merged_payload(array: Column, text: Column, added: dict[str, Column]) -> Column:
     """The JSON object ``text`` with the text fields ``added`` set, all others kept.
 
-    The fields go before the closing brace. Only where the object has one of them
-    already is it taken apart and put together again.
+    The fields, none of them null, go behind the opening brace of an object that
+    has other fields. Only where it has one of them already is it taken apart and
+    put together again.
     """
-    head = F.rtrim(text, F.lit(_BLANKS))
-    head = F.substring(head, F.lit(1), F.length(head) - 1)
-    new_fields = F.to_json(F.struct(*[value.alias(name) for name, value in added.items()]))
-    appended = F.concat(head, F.lit(","), F.substring(new_fields, F.lit(2), F.length(new_fields)))
-
-    kept = F.map_filter(
-        F.try_variant_get(array, "$[0]", "map<string,variant>"), lambda key, _: ~key.isin(*added)
-    )
-    extra = F.create_map(
-        *[part for name, value in added.items() for part in (F.lit(name), value.cast("variant"))]
-    )
-    present = F.coalesce(*[field(array, name, "variant") for name in added]).isNotNull()
-    return F.when(present, F.to_json(F.map_concat(kept, extra))).otherwise(appended)
+    opened = F.rtrim(F.to_json(F.struct(*[v.alias(name) for name, v in added.items()])), F.lit("}"))
+    rest = F.substr(F.ltrim(text, F.lit(_BLANKS)), F.lit(2))
+    put_in_front = F.concat(opened, F.lit(","), rest)
+
+    fields = F.try_variant_get(array, "$[0]", "map<string,variant>")
+    kept = F.map_filter(fields, lambda key, _: ~key.isin(*added))
+    extra = F.create_map(*[part for name, v in added.items() for part in (F.lit(name), v.cast("variant"))])
+
+    # a name that is not in the text can still be there in escaped form
+    may_have = reduce(or_, [F.contains(text, F.lit(part)) for part in ("\\", *added)])
+    has = F.coalesce(*[field(array, name, "variant") for name in added]).isNotNull()
+    return F.when(may_have & has, F.to_json(F.map_concat(kept, extra))).otherwise(put_in_front)

@@ -23,7 +23,7 @@ def not_blank(value: Column) -> Column:
 
 def encode_text(value: Column) -> Column:
     """Base64 of the UTF-8 bytes, on one line (Spark may break it every 76 characters)."""
-    return F.translate(F.base64(F.encode(value, "UTF-8")), "\r\n", "")
+    return F.replace(F.base64(F.encode(value, "UTF-8")), F.lit("\r\n"), F.lit(""))
 
 
 def decode_text(value: Column) -> Column:

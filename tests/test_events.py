@@ -141,6 +141,13 @@ def test_payload_overwrites_its_own_fields(spark):
     assert json.loads(row[1]["enriched"])["event_subtype"] == "order"
 
 
+def test_payload_overwrites_an_escaped_name(spark):
+    text = json.dumps(EVENT)[:-1] + ',"event\\u005ftype":"old"}'
+    enriched = enrich_payload(events(spark, text)).first()["enriched"]
+    assert json.loads(enriched, object_pairs_hook=list).count(("event_type", "payment")) == 1
+    assert len(json.loads(enriched, object_pairs_hook=list)) == 6
+
+
 def test_envelopes(spark):
     long_event = EVENT | {"text": "é" * 500}
     out = process_envelopes(envelopes(spark, encoded(EVENT), encoded(long_event)), ZONE).orderBy("recordId").collect()
