@@ -1,6 +1,9 @@
 """The batch job: listening log to star tables.
 
     spark-submit earshot/plans/etl.py <path> <database>
+
+The tables go to the catalog of the session; a persistent one needs
+``--conf spark.sql.catalogImplementation=hive`` or a catalog of your own.
 """
 
 from __future__ import annotations
@@ -106,5 +109,5 @@ def run_etl(
 
 if __name__ == "__main__":
     logging.basicConfig(level="INFO")
-    session = SparkSession.builder.appName("listening-etl").enableHiveSupport().getOrCreate()
+    session = SparkSession.builder.appName("listening-etl").getOrCreate()
     run_etl(session, *sys.argv[1:3]).discard()

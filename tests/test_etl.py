@@ -1,3 +1,6 @@
+import runpy
+import sys
+
 import pytest
 from fixtures import (
     ARTIST,
@@ -79,6 +82,13 @@ def test_run_twice(spark, tmp_path, database, kind, schema):
         assert stored(spark, database) == EXPECTED
 
 
+def test_command_line(spark, tmp_path, database, monkeypatch):
+    path = write_text(tmp_path / "listens.txt", lines(records()))
+    monkeypatch.setattr(sys, "argv", ["etl.py", path, database])
+    runpy.run_module("earshot.plans.etl", run_name="__main__")
+    assert stored(spark, database) == EXPECTED
+
+
 def test_second_log_adds_only_what_is_new(spark, tmp_path, database):
     run_etl(spark, write_text(tmp_path / "a.txt", lines(records())), database).discard()
     changed = listen(1555286378, "283062c8-75e2-406a-8c5e-f38136aa5a68", "Another title")
