@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -452,6 +453,15 @@ def _sql(name: str, **args):
 # --- contract ------------------------------------------------------------------------------
 
 
+def _llm():
+    """The query modules of the training-data operators, if they are there."""
+    if find_spec("earshot.llm") is None or find_spec("corpus_pipeline") is None:
+        return None
+    from earshot.llm import queries as llm_queries
+
+    return llm_queries
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Top users over the star schema built from the raw listens."""
     star = transform(raw_listens(spark, SMOKE_DIR))
@@ -459,7 +469,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _llm()
     return {
+        **(llm.queries() if llm else {}),
         "dim_users": dim_users,
         "dim_artists": dim_artists,
         "dim_time": dim_time,
@@ -601,7 +613,9 @@ def oracle_sql() -> dict[str, str]:
             "FROM events JOIN customer ON c_custkey = user_id GROUP BY user_id"
         )
 
+    llm = _llm()
     return {
+        **(llm.oracle_sql() if llm else {}),
         "dim_users": (
             "SELECT sha256(c_name) AS user_id, c_name AS user_name FROM customer "
             "WHERE c_custkey IN (SELECT user_id FROM events)"
