@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from earshot.llm.clean_lines import clean_lines
+from earshot.llm.mixing import mix_sources
 from earshot.llm.near_dups import near_duplicates
 
 
@@ -17,8 +19,23 @@ def op2_super_minhash(spark, d):
     return near_duplicates(table(spark, d, "documents"))
 
 
+def op3_sainte_lague(spark, d):
+    mixed = mix_sources(table(spark, d, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_line_first(spark, d):
+    cleaned = clean_lines(table(spark, d, "documents"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return cleaned.select("doc_id", *counts, "base_failed", "kept", "n_clean_words")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_super_minhash": op2_super_minhash}
+    return {
+        "op2_super_minhash": op2_super_minhash,
+        "op3_sainte_lague": op3_sainte_lague,
+        "op4_line_first": op4_line_first,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
