@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from earshot.llm.clean_lines import clean_lines
+from earshot.llm.decontaminate import benchmark_matches, leaked_pairs
 from earshot.llm.mixing import mix_sources
 from earshot.llm.near_dups import near_duplicates
 
@@ -30,11 +31,16 @@ def op4_line_first(spark, d):
     return cleaned.select("doc_id", *counts, "base_failed", "kept", "n_clean_words")
 
 
+def op9_smith_waterman(spark, d):
+    return leaked_pairs(benchmark_matches(table(spark, d, "documents"), table(spark, d, "benchmark")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_super_minhash": op2_super_minhash,
         "op3_sainte_lague": op3_sainte_lague,
         "op4_line_first": op4_line_first,
+        "op9_smith_waterman": op9_smith_waterman,
     }
 
 
