@@ -10,6 +10,8 @@ from earshot.llm.clean_lines import clean_lines
 from earshot.llm.decontaminate import benchmark_matches, leaked_pairs
 from earshot.llm.mixing import mix_sources
 from earshot.llm.near_dups import near_duplicates
+from earshot.llm.privacy import find_personal_data, personal_data_digest
+from earshot.llm.secrets import find_secrets, secrets_digest
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,16 +33,26 @@ def op4_line_first(spark, d):
     return cleaned.select("doc_id", *counts, "base_failed", "kept", "n_clean_words")
 
 
+def op6_disclosure(spark, d):
+    return personal_data_digest(find_personal_data(table(spark, d, "documents")))
+
+
 def op9_smith_waterman(spark, d):
     return leaked_pairs(benchmark_matches(table(spark, d, "documents"), table(spark, d, "benchmark")))
 
 
+def op10_linked_credentials(spark, d):
+    return secrets_digest(find_secrets(table(spark, d, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_super_minhash": op2_super_minhash,
         "op3_sainte_lague": op3_sainte_lague,
         "op4_line_first": op4_line_first,
+        "op6_disclosure": op6_disclosure,
         "op9_smith_waterman": op9_smith_waterman,
+        "op10_linked_credentials": op10_linked_credentials,
     }
 
 
