@@ -3,17 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from earshot.llm.clean_lines import clean_lines
+from earshot.llm.decontaminate import drop_contaminated
+from earshot.llm.mixing import mix_sources
 from earshot.llm.near_dups import drop_near_duplicates
+from earshot.llm.privacy import hide_personal_data
 from earshot.operators.sizing import scratch_path, staged
 
 
+def with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
+    """The documents with another text, and ``n_chars``, if there, counted anew."""
+    counted = {"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in columns else {}
+    return docs.withColumns({"text": F.col(text), **counted}).select(*columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others lose the lines that fail."""
+    cleaned = clean_lines(docs).where("kept")
+    return with_text(cleaned.withColumn("_clean", F.col("clean_text")), docs.columns, "_clean")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return drop_near_duplicates(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are replaced by their kinds."""
+    hidden = hide_personal_data(docs)
+    return with_text(hidden.withColumn("_safe", F.col("text")), docs.columns, "_safe")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of which the mix takes words, with how many of them it takes."""
+    return mix_sources(docs).where("taken > 0")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("privacy", privacy),
+    ("mixing", mixing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from earshot.llm.text import WORD, n_words, whole, words_of
 
 WINDOW = 8
+ADDED = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "line_faults",
+    "clean_text",
+    "n_clean_words",
+    "base_failed",
+    "kept",
+)
 SYMBOLS = "[#*$%&|<>]"
 SENTENCE_END = r"""[.!?…。！？]["')\]»”’]*([\x20\x09-\x0D]|$)"""
 SEPARATOR = r"[|»›•·→>]"
@@ -111,8 +123,10 @@ def clean_lines(docs: DataFrame, text_col: str = "text", max_loss: float = 0.3)
     )
     lost = F.size(F.array_compact("_faults")) > 0
     counted = counted.withColumn("n_clean_words", F.when(lost, n_words(F.col("clean_text"))).otherwise(F.col("n_words")))
+    # A filter on the verdict must not pull the expressions below into itself; it stays above a generator.
+    others = [c for c in docs.columns if c not in ADDED]
+    once = counted.select(*[F.col(f"`{c}`") for c in others], F.inline(F.array(F.struct(*ADDED[:-2]))))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     loss = F.col("n_words") - F.col("n_clean_words")
-    judged = counted.withColumn("base_failed", failed)
-    judged = judged.withColumn("kept", ~F.col("base_failed") & (loss <= max_loss * F.col("n_words")))
-    return judged.drop("_text", "_words", "_lines", "_hashes", "_windows", "_faults")
+    judged = once.withColumn("base_failed", failed)
+    return judged.withColumn("kept", ~F.col("base_failed") & (loss <= max_loss * F.col("n_words")))

@@ -6,18 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from earshot.llm.clean_lines import clean_lines
 from earshot.llm.decontaminate import benchmark_matches, leaked_pairs
 from earshot.llm.mixing import mix_sources
 from earshot.llm.near_dups import near_duplicates
 from earshot.llm.privacy import find_personal_data, personal_data_digest
 from earshot.llm.secrets import find_secrets, secrets_digest
+from earshot.llm.warc import captured_pages, captures, read_warc, write_warc
+from earshot.operators.sizing import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_transactions(spark, d):
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, d, "pages"), path)
+    return captured_pages(captures(read_warc(spark, path)))
+
+
 def op2_super_minhash(spark, d):
     return near_duplicates(table(spark, d, "documents"))
 
@@ -47,12 +56,14 @@ def op10_linked_credentials(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_transactions": op1_transactions,
         "op2_super_minhash": op2_super_minhash,
         "op3_sainte_lague": op3_sainte_lague,
         "op4_line_first": op4_line_first,
         "op6_disclosure": op6_disclosure,
         "op9_smith_waterman": op9_smith_waterman,
         "op10_linked_credentials": op10_linked_credentials,
+        "pipeline": corpus_pipeline.run,
     }
 
 
