@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from earshot.llm.clean_lines import clean_lines
 from earshot.llm.decontaminate import benchmark_matches, leaked_pairs
+from earshot.llm.lm_score import lm_scores
 from earshot.llm.mixing import mix_sources
 from earshot.llm.near_dups import near_duplicates
+from earshot.llm.page_text import extract_text
 from earshot.llm.privacy import find_personal_data, personal_data_digest
 from earshot.llm.secrets import find_secrets, secrets_digest
 from earshot.llm.warc import captured_pages, captures, read_warc, write_warc
@@ -42,10 +44,18 @@ def op4_line_first(spark, d):
     return cleaned.select("doc_id", *counts, "base_failed", "kept", "n_clean_words")
 
 
+def op5_page_differencing(spark, d):
+    return extract_text(table(spark, d, "pages"))
+
+
 def op6_disclosure(spark, d):
     return personal_data_digest(find_personal_data(table(spark, d, "documents")))
 
 
+def op7_bloom_lm(spark, d):
+    return lm_scores(table(spark, d, "documents"))
+
+
 def op9_smith_waterman(spark, d):
     return leaked_pairs(benchmark_matches(table(spark, d, "documents"), table(spark, d, "benchmark")))
 
@@ -60,7 +70,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_super_minhash": op2_super_minhash,
         "op3_sainte_lague": op3_sainte_lague,
         "op4_line_first": op4_line_first,
+        "op5_page_differencing": op5_page_differencing,
         "op6_disclosure": op6_disclosure,
+        "op7_bloom_lm": op7_bloom_lm,
         "op9_smith_waterman": op9_smith_waterman,
         "op10_linked_credentials": op10_linked_credentials,
         "pipeline": corpus_pipeline.run,
