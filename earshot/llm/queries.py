@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from earshot.llm.clean_lines import clean_lines
@@ -15,6 +16,7 @@ from earshot.llm.near_dups import near_duplicates
 from earshot.llm.page_text import extract_text
 from earshot.llm.privacy import find_personal_data, personal_data_digest
 from earshot.llm.secrets import find_secrets, secrets_digest
+from earshot.llm.token_counts import count_tokens, recount_tokens, sample_edits
 from earshot.llm.warc import captured_pages, captures, read_warc, write_warc
 from earshot.operators.sizing import scratch_path
 
@@ -56,6 +58,16 @@ def op7_bloom_lm(spark, d):
     return lm_scores(table(spark, d, "documents"))
 
 
+def op8_edit_aware(spark, d):
+    """Every document is counted, gets three edits at places that follow from its length, and is counted on."""
+    counted = count_tokens(table(spark, d, "documents").select("doc_id", "text", "source", "lang"))
+    length = F.length(F.coalesce("text", F.lit(""))).cast("bigint")
+    edits = sample_edits(length, F.concat(F.lit(" seen in "), F.coalesce("source", F.lit("?"))), F.coalesce("lang", F.lit("?")))
+    before = counted.withColumns({"edits": edits, "n_tokens_before": F.col("n_tokens"), "n_chars_before": length})
+    after = recount_tokens(before)
+    return after.select("doc_id", "n_chars_before", "n_tokens_before", F.length("text").cast("bigint").alias("n_chars"), "n_tokens", "n_reencoded")
+
+
 def op9_smith_waterman(spark, d):
     return leaked_pairs(benchmark_matches(table(spark, d, "documents"), table(spark, d, "benchmark")))
 
@@ -73,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_page_differencing": op5_page_differencing,
         "op6_disclosure": op6_disclosure,
         "op7_bloom_lm": op7_bloom_lm,
+        "op8_edit_aware": op8_edit_aware,
         "op9_smith_waterman": op9_smith_waterman,
         "op10_linked_credentials": op10_linked_credentials,
         "pipeline": corpus_pipeline.run,
