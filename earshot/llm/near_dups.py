@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from earshot.llm.components import components
 from earshot.llm.words import constants, mix, ngram_hashes, text_words
-from earshot.operators.sizing import measured, scratch_path, staged
+from earshot.operators.sizing import broadcast_within, measured, scratch_path, staged
 
 SHINGLE = 5
 RANKS = 128
@@ -139,77 +139,88 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint")
 
 
-def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare the rows of each block that is not yet joined with its other rows, by their signatures.
+def crossing_links(block: pa.Table) -> list[tuple[int, int]]:
+    """Links between the rows of one block that are set apart and its rows of other components.
 
-    Rows come sorted by block; a block that runs on into the next batch is kept
-    back. Only rows of different components are paired.
+    The signatures tell whether a row has any likely partner in the block; then
+    its overlaps with all sets of the block are counted at once. One link for
+    each row and component is enough.
     """
+    node, root = block.column("node").to_numpy(), block.column("root").to_numpy()
+    lists = block.column("bands").combine_chunks()
+    ranks = np.ascontiguousarray(lists.flatten().to_numpy()).view(np.uint16).reshape(-1, RANKS)
+    sets = [unpack(x) for x in block.column("shingles").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    joined, starts = np.concatenate(sets), np.append(0, np.cumsum(sizes)[:-1])
+    found = []
+    for i in np.flatnonzero(block.column("apart").to_numpy()):
+        other = root != root[i]
+        if not (((ranks == ranks[i]).sum(axis=1) >= LIKELY * RANKS) & other).any():
+            continue
+        place = np.searchsorted(sets[i], joined)
+        place[place == sizes[i]] = 0
+        common = np.add.reduceat(sets[i][place] == joined, starts, dtype=np.int64)
+        hits = np.flatnonzero(other & (100 * common >= 75 * (sizes + sizes[i] - common)))
+        for k in np.unique(root[hits], return_index=True)[1]:
+            found.append((int(node[i]), int(node[hits[k]])))
+    return found
+
+
+def confirm_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of each block; rows come sorted by block, and one that runs on into the next batch is kept back."""
     kept: pa.Table | None = None
-    schema = None
 
-    def pairs(table: pa.Table) -> pa.RecordBatch | None:
+    def links(table: pa.Table) -> pa.RecordBatch:
         block = table.column("block").to_numpy()
-        node, root = table.column("node").to_numpy(), table.column("root").to_numpy()
-        apart = table.column("apart").to_numpy()
-        lists = table.column("bands").combine_chunks()
-        keys = lists.flatten().to_numpy().reshape(-1, BANDS)
-        ranks = np.ascontiguousarray(keys).view(np.uint16)
-        found_a, found_b = [], []
-        cuts = np.flatnonzero(np.diff(block)) + 1
-        for low, high in zip(np.append(0, cuts), np.append(cuts, len(block)), strict=True):
-            for i in range(low, high):
-                if apart[i]:
-                    same = (ranks[low:high] == ranks[i]).sum(axis=1)
-                    hits = low + np.flatnonzero((same >= LIKELY * RANKS) & (root[low:high] != root[i]))
-                    found_a.append(np.full(len(hits), node[i]))
-                    found_b.append(node[hits])
-        if not found_a:
-            return None
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+        cuts = np.append(np.flatnonzero(np.diff(block)) + 1, len(block))
+        found = []
+        for low, high in zip(np.append(0, cuts[:-1]), cuts, strict=True):
+            found += crossing_links(table.slice(low, high - low))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        schema = batch.schema
-        table = pa.Table.from_batches([batch], schema)
-        if kept is not None:
-            table = pa.concat_tables([kept, table])
+        table = pa.Table.from_batches([batch])
+        table = table if kept is None else pa.concat_tables([kept, table])
         block = table.column("block").to_numpy()
-        cut = int(np.searchsorted(block == block[-1], True)) if len(block) else 0
+        cut = int(np.argmax(block == block[-1]))
+        if cut:
+            yield links(table.slice(0, cut))
         kept = table.slice(cut)
-        if cut and (out := pairs(table.slice(0, cut))) is not None:
-            yield out
-    if kept is not None and (out := pairs(kept)) is not None:
-        yield out
+    if kept is not None:
+        yield links(kept)
 
 
-def _crossing(buckets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Likely pairs between different components that share a bucket.
+def _crossing(buckets: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links between different components that share a bucket.
 
-    In each bucket the largest component is set aside; the rows outside it are
-    compared with all rows of the bucket, in blocks of bounded size.
+    In each bucket the largest component is set aside. All buckets with the same
+    largest component make a region; its classes outside that component are
+    compared with all its classes, in blocks of bounded size that hold the full
+    sets, so that only links leave the tasks.
     """
     spark = buckets.sparkSession
     rooted = buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     rooted = staged(rooted, scratch_path(spark, "rooted"))
     parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    sizes = parts.groupBy("bucket").agg(
-        F.sum("n").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("most")
-    )
-    mixed = sizes.where("parts > 1").withColumn("cuts", F.ceil(F.col("size") / BLOCK).cast("int"))
-    mixed = staged(mixed.select("bucket", "most", "cuts"), scratch_path(spark, "mixed"))
-    rows = rooted.join(mixed, "bucket").join(classes.select("node", "bands"), "node")
+    sizes = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("region"))
+    mixed = staged(sizes.where("parts > 1").select("bucket", "region"), scratch_path(spark, "mixed"))
+    rows = rooted.join(mixed, "bucket").select("region", "node", "root").distinct()
+    rows = staged(rows, scratch_path(spark, "regions"))
+    cuts = rows.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
+    rows = rows.join(cuts, "region").join(classes.select("node", "bands"), "node").join(sets, "node")
     mine = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
     others = F.sequence(F.lit(0), F.col("cuts") - 1)
     apart = F.transform(others, lambda k: F.struct(mine.alias("u"), k.alias("v"), F.lit(True).alias("apart")))
     every = F.transform(others, lambda k: F.struct(k.alias("u"), mine.alias("v"), F.lit(False).alias("apart")))
-    copies = F.explode(F.when(F.col("root") == F.col("most"), every).otherwise(F.concat(apart, every)))
-    blocks = rows.select("bucket", "node", "root", "bands", copies.alias("c"))
-    blocks = blocks.select(F.xxhash64("bucket", "c.u", "c.v").alias("block"), "node", "root", "c.apart", "bands")
+    copies = F.explode(F.when(F.col("root") == F.col("region"), every).otherwise(F.concat(apart, every)))
+    blocks = rows.select("region", "node", "root", "bands", "shingles", copies.alias("c"))
+    block = F.xxhash64("region", "c.u", "c.v").alias("block")
+    blocks = blocks.select(block, "node", "root", "c.apart", "bands", "shingles")
     blocks = blocks.repartition("block").sortWithinPartitions("block")
-    return blocks.mapInArrow(likely, "a bigint, b bigint").distinct()
+    return blocks.mapInArrow(confirm_blocks, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,8 +256,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = keyed.join(leaders.select("bucket", "leader"), "bucket")
     buckets = staged(buckets, scratch_path(spark, "buckets"))
 
-    known = buckets.select("node").distinct()
-    sets = base.select("node", "shingles").join(known, "node", "left_semi").dropDuplicates(["node"])
+    known, n_known = measured(buckets.select("node").distinct())
+    sets = base.select("node", "shingles").join(broadcast_within(known, n_known), "node", "left_semi")
+    sets = sets.dropDuplicates(["node"])
     sets = staged(sets, scratch_path(spark, "sets"))
 
     stars = buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
@@ -255,8 +267,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = stars.join(ranks_a, "a").join(ranks_b, "b").mapInArrow(estimate, "a bigint, b bigint")
     first = staged(linked(stars, sets), scratch_path(spark, "links"))
     roots = components(first)
-    crossing = _crossing(buckets.select("bucket", "node"), classes, roots)
-    second = linked(crossing, sets)
+    second = _crossing(buckets.select("bucket", "node"), classes, sets, roots)
     joined = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
 
     members = base.select("doc_id", "n_shingles", "node").join(joined, "node", "left")
