@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+logger = logging.getLogger(__name__)
+
 BROADCAST_ROWS = 1_000_000
 """Most rows of a key table (a few narrow columns) that is sent to every executor."""
 
@@ -22,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master.startswith("local-cluster") or not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="earshot-")
     if context.getCheckpointDir() is None:
@@ -45,12 +47,24 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(path: str) -> None:
-    """Delete a scratch path of ours and all below it."""
-    is_uri = "://" in path or path.startswith("file:")
-    system, local = fs.FileSystem.from_uri(path) if is_uri else (fs.LocalFileSystem(), path)
-    if system.get_file_info(local).type == fs.FileType.Directory:
-        system.delete_dir(local)
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as Spark's own file systems resolve it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path of ours and all below it, by Spark's own file system.
+
+    A failure is logged and goes no further, so that it never hides the error
+    of the work before it.
+    """
+    try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:
+        logger.warning("Could not delete '%s'", path, exc_info=True)
 
 
 def measured(df: DataFrame) -> tuple[DataFrame, int]:

@@ -68,7 +68,7 @@ def users_on_day(
 def latest_song(listens: DataFrame, users: DataFrame) -> DataFrame:
     """Each user's most recent song, which is what the original query returns."""
     dtype = listens.schema["listen_time"].dataType
-    order = [newest_first(F.col("listen_time"), dtype), F.col("listen_id")]
+    order = [F.col("listen_time").isNull(), newest_first(F.col("listen_time"), dtype), F.col("listen_id")]
     picked = first_values(listens, "user_id", order, ["song_name"])
     return picked.join(users, "user_id").select("song_name", "user_name")
 

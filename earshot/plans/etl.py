@@ -24,7 +24,7 @@ from earshot.operators.validation import check_required, raise_missing, rejected
 from earshot.plans.load import LoadResult, load
 from earshot.plans.rules import STAR_RULES
 from earshot.plans.star import STAR_FRAMES
-from earshot.sources.listens import ORDINAL, absent_paths, extract, raw_lines
+from earshot.sources.listens import ORDINAL, absent_paths, extract, numbered, raw_lines
 
 logger = logging.getLogger(__name__)
 
@@ -70,7 +70,7 @@ class EtlResult:
         return {name: rejected_table(self.listens, name, self.rules) for name in STAR_FRAMES}
 
     def discard(self) -> None:
-        discard(self.scratch)
+        discard(self.listens.sparkSession, self.scratch)
 
 
 def run_etl(
@@ -97,11 +97,14 @@ def run_etl(
         if schema is not None:
             raise_missing(absent_paths(listens, raw_lines(spark, path), S.REQUIRED_PATHS))
 
-        frames = {name: staged(df, f"{scratch}/{name}") for name, df in transform(listens, rules).items()}
+        # Valid frames are unique by key, so the load needs no ordinal to choose by.
+        frames = {
+            name: staged(df.drop(ORDINAL), f"{scratch}/{name}") for name, df in transform(numbered(listens), rules).items()
+        }
         result = load(spark, frames, database, orphans, buckets)
     except Exception:
         logger.exception("Failed to process '%s'", path)
-        discard(scratch)
+        discard(spark, scratch)
         raise
     logger.info("Loaded into '%s': %s", database, dict(result.offered))
     return EtlResult(extracted, result, listens, rules, scratch)

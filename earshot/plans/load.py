@@ -62,6 +62,9 @@ def load(
         rows = new_rows(frame, stored[name], unique, ordinal, offered[name])
         if buckets:
             rows = rows.repartition(buckets, unique[0])
+        elif name == "user_listens":
+            # Ordered by time, so that a range of it skips row groups and files.
+            rows = rows.repartitionByRange("listen_time").sortWithinPartitions("listen_time")
         append_by_name(rows, f"`{database}`.`{name}`")
         spark.catalog.refreshTable(f"`{database}`.`{name}`")
     return LoadResult(offered, set_aside)

@@ -3,20 +3,24 @@
     spark.sql(SQL["top_users"], user_listens=..., users=..., time=...)
 
 The texts name the star tables in braces; ``analysis`` fills in the stored ones.
-As in ``analyses``, everything per user and date starts from daily counts.
+``$date`` is the date of a listen and ``$first``, ``$last`` bound a day; they
+follow from ``listen_time`` and its type, so no text joins the fact with
+``time``, and a day reaches the scan as a range. As in ``analyses``, everything
+per user and date starts from daily counts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from earshot.sources.tables import star_tables
 
 _DAYS = """
     days AS (
-        SELECT l.user_id, t.date, unix_date(t.date) AS day_number, count(l.listen_id) AS listens
-        FROM {user_listens} AS l JOIN {time} AS t USING (listen_time)
-        GROUP BY l.user_id, t.date
+        SELECT user_id, $date AS date, unix_date($date) AS day_number, count(listen_id) AS listens
+        FROM {user_listens}
+        GROUP BY user_id, $date
     )"""
 
 SQL = {
@@ -28,11 +32,9 @@ SQL = {
             GROUP BY user_id ORDER BY listens DESC, user_id LIMIT 10
         ) AS top USING (user_id)""",
     "users_on_day": """
-        SELECT count(DISTINCT l.user_id) AS user_count
-        FROM {user_listens} AS l
-        LEFT SEMI JOIN (
-            SELECT listen_time FROM {time} WHERE year = :year AND month = :month AND day = :day
-        ) AS t USING (listen_time)""",
+        SELECT count(DISTINCT user_id) AS user_count
+        FROM {user_listens}
+        WHERE listen_time >= $first AND listen_time < $last""",
     "latest_song": """
         SELECT song_name, user_name
         FROM (
@@ -45,7 +47,7 @@ SQL = {
         SELECT song_name, user_name
         FROM (
             SELECT user_id, song_name,
-                   row_number() OVER (PARTITION BY user_id ORDER BY listen_time, listen_id) AS place
+                   row_number() OVER (PARTITION BY user_id ORDER BY listen_time NULLS LAST, listen_id) AS place
             FROM {user_listens}
         ) JOIN {users} USING (user_id)
         WHERE place = 1""",
@@ -93,10 +95,22 @@ SQL = {
 }
 
 
+def typed(text: str, listen_time: T.DataType) -> str:
+    """The text with its date and bounds spelled out for epoch seconds, TIMESTAMP_NTZ or TIMESTAMP."""
+    first, last = "make_date(:year, :month, :day)", "date_add(make_date(:year, :month, :day), 1)"
+    if isinstance(listen_time, T.TimestampNTZType):
+        date, bound = "CAST(listen_time AS DATE)", "CAST({} AS TIMESTAMP_NTZ)"
+    elif isinstance(listen_time, T.TimestampType):
+        date, bound = "CAST(listen_time AS DATE)", "CAST({} AS TIMESTAMP)"
+    else:
+        date, bound = "date_from_unix_date(CAST(floor(listen_time / 86400) AS INT))", "unix_date({}) * 86400L"
+    return text.replace("$date", date).replace("$first", bound.format(first)).replace("$last", bound.format(last))
+
+
 def run_sql(spark: SparkSession, name: str, tables: dict[str, DataFrame], **args) -> DataFrame:
     """Run one text on the given tables; ``args`` are its named parameters."""
     used = {t: df for t, df in tables.items() if f"{{{t}}}" in SQL[name]}
-    return spark.sql(SQL[name], args=args, **used)
+    return spark.sql(typed(SQL[name], tables["user_listens"].schema["listen_time"].dataType), args=args, **used)
 
 
 def analysis(spark: SparkSession, name: str, database: str, **args) -> DataFrame:

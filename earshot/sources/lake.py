@@ -7,6 +7,7 @@ writes there. Analysts use the compacted table, which is written from it.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot import schemas as S
@@ -18,6 +19,8 @@ LAKE_TABLE = T.StructType(
     [*S.LAKE_EVENT.fields, *[T.StructField(k, T.IntegerType()) for k in S.PARTITION_KEYS]]
 )
 
+IDENTITY = "_identity"
+
 
 def by_hour(df: DataFrame) -> DataFrame:
     """Gather the rows of an hour for writing.
@@ -40,8 +43,16 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dedupe_events(events: DataFrame) -> DataFrame:
-    """One row per ``event_uuid``, the earliest."""
-    return keep_first(events, "event_uuid", ["created_at", "event_name"])
+    """One row per ``event_uuid``, the earliest. Events without an id are no repeats of each other and all stay."""
+    alone = F.when(F.col("event_uuid").isNull(), F.monotonically_increasing_id())
+    kept = keep_first(events.withColumn("_alone", alone), ["event_uuid", "_alone"], ["created_at", "event_name"])
+    return kept.drop("_alone")
+
+
+def with_identity(events: DataFrame) -> DataFrame:
+    """Add what makes an event the same: its id, or all its columns where it has none."""
+    whole = F.sha2(F.to_json(F.struct(*LAKE_TABLE.names)), 256)
+    return events.withColumn(IDENTITY, F.coalesce("event_uuid", F.concat(F.lit("\0"), whole)))
 
 
 def create_lake_table(spark: SparkSession, table: str, path: str) -> None:
@@ -65,19 +76,24 @@ def compact(
 
     ``where`` restricts the part of the lake to take in, such as the hours since
     the last run; the ids are compared with the whole table in any case. Returns
-    the number of events appended. Running it again appends nothing.
+    the number of events appended. Running it again appends nothing. Events
+    without an id are the same if all their columns agree.
     """
     create_lake_table(spark, table, target)
     events = read_lake(spark, lake)
     if where is not None:
         events = events.where(where)
-    fresh = new_rows(dedupe_events(events), spark.table(table), ["event_uuid"])
+    events = with_identity(events.select(*LAKE_TABLE.names))
+    single = keep_first(events, IDENTITY, ["created_at", "event_name"])
     scratch = scratch_path(spark, "compaction")
     try:
-        fresh = staged(fresh, scratch)
+        # Counted first: a small batch is sent to the table instead of shuffling all its ids.
+        batch = staged(single, f"{scratch}/batch")
+        stored = with_identity(spark.table(table))
+        fresh = staged(new_rows(batch, stored, [IDENTITY], batch_rows=batch.count()), f"{scratch}/fresh")
         appended = fresh.count()
         if appended:
             append_by_name(by_hour(fresh), table)
     finally:
-        discard(scratch)
+        discard(spark, scratch)
     return appended

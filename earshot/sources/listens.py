@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.errors import UnsupportedFileFormatException
 from earshot.operators.validation import field_paths
+from earshot.operators.sizing import broadcast_within, measured, qualified
 from earshot.schemas import RAW_LISTEN
 from earshot.sources.zip_lines import ZipLines
 
@@ -57,13 +59,15 @@ def _extract_archive(
     place = F.struct("archive", "member", "line")
     # A large member is one task's work to read; spread its lines before parsing.
     spread = lines.select("value", place.alias(ORDINAL)).repartition(ORDINAL)
+    if not schema.fields:
+        return spread.select(ORDINAL)
     parsed = F.from_json("value", schema, options)
     return spread.select(parsed.alias("listen"), ORDINAL).select("listen.*", ORDINAL)
 
 
 def _archive_lines(spark: SparkSession, path: str) -> DataFrame:
     spark.dataSource.register(ZipLines)
-    lines = spark.read.format("zip_lines").load(path)
+    lines = spark.read.format("zip_lines").load(qualified(spark, path))
     return lines.where(F.col("value") != "")
 
 
@@ -81,7 +85,8 @@ def infer_schema(lines: DataFrame) -> T.StructType:
     does; a field that occurs in no row is absent.
     """
     found = lines.agg(F.schema_of_variant_agg(F.parse_json("value")).alias("ddl")).first()["ddl"]
-    return _without_void(T._parse_datatype_string(found.replace("OBJECT<", "STRUCT<")))
+    schema = _without_void(T._parse_datatype_string((found or "VOID").replace("OBJECT<", "STRUCT<")))
+    return schema if isinstance(schema, T.StructType) else T.StructType([])
 
 
 def _without_void(dtype: T.DataType) -> T.DataType:
@@ -127,6 +132,29 @@ def absent_paths(listens: DataFrame, lines: DataFrame, required: list[str]) -> l
         open_paths = unseen(listens, open_paths)
     missing = [p for p in required if p not in known]
     if open_paths:
-        occurring = field_paths(infer_schema(lines))
-        missing += [p for p in open_paths if p not in occurring]
+        # One count for each path: a JSON null is a value of the variant, an absent field is none.
+        value = F.try_parse_json("value")
+        counts = [F.count(F.try_variant_get(value, f"$.{p}", "variant")).alias(str(i)) for i, p in enumerate(open_paths)]
+        missing += [p for p, n in zip(open_paths, lines.agg(*counts).first(), strict=True) if n == 0]
     return [p for p in required if p in missing]
+
+
+def numbered(listens: DataFrame) -> DataFrame:
+    """The listens with their ordinal as one BIGINT, so that first-of-key aggregates need no sort.
+
+    The parts of the input (splits of files, or members of archives) are numbered
+    in order; the number fills the upper bits and the row within the part the
+    lower 33. There is one part for each input task, so their list is short.
+    """
+    place = listens.schema[ORDINAL].dataType
+    if not isinstance(place, T.StructType):
+        return listens
+    *part, row = place.names
+    parts = listens.select(*[F.col(f"{ORDINAL}.{c}").alias(f"_{c}") for c in part]).distinct()
+    order = W.orderBy(*[f"_{c}" for c in part])
+    parts, n = measured(parts.withColumn("_part", F.row_number().over(order)))
+    same = [F.col(f"{ORDINAL}.{c}").eqNullSafe(F.col(f"_{c}")) for c in part]
+    within = F.col(f"{ORDINAL}.{row}").bitwiseAND(F.lit((1 << 33) - 1))
+    ordinal = F.shiftleft(F.col("_part").cast("bigint"), 33).bitwiseOR(within)
+    joined = listens.join(broadcast_within(parts, n), same)
+    return joined.withColumn(ORDINAL, ordinal).select(*listens.columns)

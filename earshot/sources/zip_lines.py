@@ -33,10 +33,16 @@ class Member(InputPartition):
         self.archive, self.index, self.name = archive, index, name
 
 
+# Arrow's names for schemes that Spark knows under another one.
+ARROW_SCHEMES = {"s3a:": "s3:", "s3n:": "s3:"}
+
+
 def _open(uri: str):
     """A seekable file from any file system Arrow knows; plain paths are local."""
+    scheme, colon, rest = uri.partition(":")
+    uri = ARROW_SCHEMES.get(scheme + colon, scheme + colon) + rest
     if "://" in uri or uri.startswith("file:"):
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
     else:
         system, path = fs.LocalFileSystem(), uri
     return system.open_input_file(path)

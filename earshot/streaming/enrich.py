@@ -11,6 +11,7 @@ from earshot.functions.calendar import date_parts, instant, iso_seconds, wall_cl
 from earshot.functions.text import decode_text, encode_text
 
 REASON = "reason"
+UNDECODABLE = "not base64 of UTF-8 text"
 
 
 def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -100,8 +101,12 @@ def enrich_payload(df: DataFrame, tz: str = "UTC", text: str = "value") -> DataF
 
 
 def rejected_events(df: DataFrame, text: str = "value") -> DataFrame:
-    """Malformed events as they came, with the reason."""
-    return bad(parse_events(df, text)).select(*df.columns, REASON)
+    """Malformed events as they came, with the reason. Of records, also those whose ``data`` cannot be decoded."""
+    parsed = parse_events(df, text)
+    if "data" in df.columns:
+        undecodable = F.col("data").isNotNull() & F.col(text).isNull()
+        parsed = parsed.withColumn(REASON, F.when(undecodable, UNDECODABLE).otherwise(F.col(REASON)))
+    return bad(parsed).select(*df.columns, REASON)
 
 
 def decode_envelopes(envelopes: DataFrame) -> DataFrame:
@@ -127,12 +132,9 @@ def process_envelopes(envelopes: DataFrame, tz: str = "UTC") -> DataFrame:
 
 def rejected_envelopes(envelopes: DataFrame) -> DataFrame:
     """Envelopes that ``process_envelopes`` leaves out, with the reason."""
-    parsed = parse_events(decode_envelopes(envelopes))
-    undecodable = F.col("data").isNotNull() & F.col("value").isNull()
-    reason = F.when(undecodable, "not base64 of UTF-8 text").otherwise(F.col(REASON))
-    return bad(parsed.withColumn(REASON, reason)).select("recordId", "data", REASON)
+    return rejected_events(decode_envelopes(envelopes)).select("recordId", "data", REASON)
 
 
-def lake_columns(df: DataFrame) -> DataFrame:
-    """The columns of the lake table, in order, partition keys last."""
-    return df.select(*S.LAKE_EVENT.names, *S.PARTITION_KEYS)
+def lake_columns(df: DataFrame, *more: str) -> DataFrame:
+    """The columns of the lake table, in order, partition keys last, and what else is named."""
+    return df.select(*S.LAKE_EVENT.names, *S.PARTITION_KEYS, *more)

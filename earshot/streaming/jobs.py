@@ -8,6 +8,7 @@ costs less than giving up exactly-once with one ``foreachBatch``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from earshot import schemas as S
-from earshot.streaming.enrich import enrich_events, lake_columns, rejected_events
+from earshot.streaming.enrich import decode_envelopes, enrich_events, lake_columns, rejected_events
 
 BUFFER_INTERVAL = "300 seconds"
-BUFFER_BYTES = "5m"
+BUFFER_BYTES = 5 << 20
 REPLAY_WINDOW = "24 hours"
-FILES_PER_HOUR = 8
+SLOT = "_slot"
 
 
 def read_events(
@@ -28,6 +29,8 @@ def read_events(
     format: str,
     path: str | None = None,
     schema: T.StructType | str | None = None,
+    buffer_bytes: int | None = None,
+    start: datetime | None = None,
     **options: str,
 ) -> DataFrame:
     """Open an event stream.
@@ -35,8 +38,16 @@ def read_events(
     ``format`` is any streaming source: ``text`` files of JSON lines, ``kafka``,
     or a connector that is installed. Rate limits (``maxFilesPerTrigger``,
     ``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``) and the starting offset are
-    options of the source. Kafka values are turned into text.
+    options of the source. ``buffer_bytes`` (such as ``BUFFER_BYTES``) limits what a trigger takes
+    from a file source; ``start`` lets a Kafka stream begin at that time, as far back as
+    the topic reaches. Kafka values are turned into text.
     """
+    if buffer_bytes is not None:
+        options["maxBytesPerTrigger"] = str(buffer_bytes)
+    if start is not None:
+        if format != "kafka":
+            raise ValueError(f"a start time needs a source with a log of its own, not {format!r}")
+        options["startingTimestamp"] = str(int(start.timestamp() * 1000))
     reader = spark.readStream.format(format).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
@@ -47,24 +58,35 @@ def read_events(
 
 
 def dedupe_stream(enriched: DataFrame, window: str = REPLAY_WINDOW) -> DataFrame:
-    """Drop repeats of an ``event_uuid`` that arrive within ``window`` of event time.
+    """Drop repeats of an ``event_uuid`` that arrive within ``window`` of the first one.
 
-    The window bounds the state. Later repeats pass and are removed when the
-    lake is compacted.
+    The watermark is on the time of arrival, which never runs backwards: it bounds
+    the state, and no event is late, however old it is. Later repeats pass and
+    are removed when the lake is compacted. Events without an id all pass.
     """
-    return enriched.withWatermark("created_at", window).dropDuplicatesWithinWatermark(["event_uuid"])
+    alone = F.when(F.col("event_uuid").isNull(), F.uuid())
+    arrived = enriched.withColumns({"_arrived": F.current_timestamp(), "_alone": alone})
+    single = arrived.withWatermark("_arrived", window).dropDuplicatesWithinWatermark(["event_uuid", "_alone"])
+    return single.drop("_arrived", "_alone")
 
 
-def spread_for_writing(enriched: DataFrame, files_per_hour: int) -> DataFrame:
-    """Send each hour to ``files_per_hour`` writers instead of to all of them.
+def with_slot(events: DataFrame) -> DataFrame:
+    """Add the writer slot, the number of the task that reads the event.
 
-    Events of an hour are spread by their id, so a busy hour is not one task. The
-    number of tasks is stated, because Spark would otherwise merge them by size,
-    while the cost of such a write lies in the number of files.
+    A source cuts what a trigger takes into tasks of bounded size, so the slots
+    of a busy hour grow with its volume.
     """
-    writers = int(enriched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slot = F.pmod(F.xxhash64("event_uuid"), F.lit(files_per_hour))
-    return enriched.repartition(writers, *S.PARTITION_KEYS, slot)
+    return events.withColumn(SLOT, F.spark_partition_id())
+
+
+def spread_for_writing(rows: DataFrame) -> DataFrame:
+    """Send the events of an hour and slot to one writer, so that an hour has as many as its volume asks for.
+
+    The number of tasks is stated, because Spark would otherwise merge them by
+    size, while the cost of such a write lies in the number of files.
+    """
+    writers = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(writers, *S.PARTITION_KEYS, SLOT)
 
 
 def _trigger(once: bool, interval: str) -> dict:
@@ -77,16 +99,14 @@ def write_lake(
     checkpoint: str,
     once: bool = False,
     interval: str = BUFFER_INTERVAL,
-    files_per_hour: int | None = FILES_PER_HOUR,
 ) -> StreamingQuery:
     """Start writing enriched events as Snappy Parquet by year, month, day and hour.
 
-    Each trigger writes up to ``files_per_hour`` files per hour of event time;
-    with ``None`` every task writes its own.
+    The files of an hour grow with the tasks that read it, and so with its volume.
     """
-    rows = lake_columns(enriched)
-    if files_per_hour:
-        rows = spread_for_writing(rows, files_per_hour)
+    if SLOT not in enriched.columns:
+        enriched = with_slot(enriched)
+    rows = spread_for_writing(lake_columns(enriched, SLOT)).drop(SLOT)
     return (
         rows.writeStream.format("parquet")
         .partitionBy(*S.PARTITION_KEYS)
@@ -117,19 +137,28 @@ def run_stream(
     dedupe: bool = False,
     once: bool = False,
     interval: str = BUFFER_INTERVAL,
-    files_per_hour: int | None = FILES_PER_HOUR,
+    rejects: Callable[[DataFrame], DataFrame] | None = None,
+    envelopes: bool = False,
 ) -> list[StreamingQuery]:
     """Start both queries on a stream of JSON events in column ``value``.
 
     Data goes to ``<root>/data``, errors to ``<root>/errors``, and the state of
     the queries to ``<root>/checkpoints``. With ``once`` they process what is
     there and stop. ``processor`` replaces ``enrich_events``; it turns the raw
-    events into rows of the lake table with their partition keys.
+    events into rows of the lake table with their partition keys, and
+    ``rejects`` those that it leaves out into rows with a ``reason``. With
+    ``envelopes`` the events are records with base64 ``data``; records that
+    cannot be decoded go to the errors as well.
     """
+    if envelopes:
+        events = events.transform(decode_envelopes)
     enriched = events.transform(processor or (lambda df: enrich_events(df, tz)))
+    # The slot names the task that reads an event, before events are dealt out by id.
+    enriched = with_slot(enriched)
     if dedupe:
         enriched = dedupe_stream(enriched)
+    errors = events.transform(rejects or rejected_events)
     return [
-        write_lake(enriched, f"{root}/data", f"{root}/checkpoints/data", once, interval, files_per_hour),
-        write_errors(rejected_events(events), f"{root}/errors", f"{root}/checkpoints/errors", once, interval),
+        write_lake(enriched, f"{root}/data", f"{root}/checkpoints/data", once, interval),
+        write_errors(errors, f"{root}/errors", f"{root}/checkpoints/errors", once, interval),
     ]

@@ -1,3 +1,4 @@
+import random
 import runpy
 import sys
 
@@ -15,15 +16,17 @@ from fixtures import (
     write_text,
     write_zip,
 )
+from pyspark.sql import functions as F
 
 from earshot import schemas as S
 from earshot.errors import MissingDataException, OrphanRowsError
 from earshot.operators.integrity import orphans, quarantine_orphans
+from earshot.operators.sizing import discard
 from earshot.operators.upsert import new_rows
-from earshot.plans.etl import rejected_table, run_etl, transform
+from earshot.plans.etl import rejected_table, run_etl, transform, valid_table
 from earshot.plans.load import load
 from earshot.plans.rules import STAR_RULES
-from earshot.sources.listens import ORDINAL, extract
+from earshot.sources.listens import ORDINAL, extract, numbered
 from earshot.sources.tables import create_star_tables, list_tables, star_tables
 
 EXPECTED = {
@@ -177,6 +180,73 @@ def test_new_rows_broadcast_and_shuffled(spark, batch_rows):
     assert rows(got) == [(2, "b", 1)]
 
 
+def one_by_one(batch, stored):
+    """Insert-or-ignore in plain Python."""
+    keys, names = {k for k, _ in stored}, {n for _, n in stored}
+    out = []
+    for _, k, n in sorted(batch):
+        if k not in keys and n not in names:
+            keys.add(k)
+            names.add(n)
+            out.append((k, n))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_two_unique_columns_as_if_stored_one_by_one(spark, seed):
+    draw = random.Random(seed)
+    batch = [(i, f"k{draw.randrange(8)}", f"n{draw.randrange(8)}") for i in range(20)]
+    stored = [("k0", "taken"), ("k9", "n1")]
+    made = new_rows(
+        spark.createDataFrame(batch, "o long, k string, n string"), spark.createDataFrame(stored, "k string, n string"), ["k", "n"], "o"
+    )
+    assert sorted((r.k, r.n) for r in made.collect()) == one_by_one(batch, stored)
+
+
+def test_a_taken_row_does_not_crowd_out_a_good_one(spark):
+    batch = spark.createDataFrame([(1, "k1", "taken"), (2, "k1", "free")], "o long, k string, n string")
+    stored = spark.createDataFrame([("k0", "taken")], "k string, n string")
+    assert [(r.k, r.n) for r in new_rows(batch, stored, ["k", "n"], "o").collect()] == [("k1", "free")]
+
+
+@pytest.mark.parametrize("text", ["", "[1]\n7\n"])
+def test_a_log_without_any_field_is_missing_them_all(spark, tmp_path, database, text):
+    (tmp_path / "log.txt").write_text(text)
+    with pytest.raises(MissingDataException if not text else Exception):
+        run_etl(spark, str(tmp_path / "log.txt"), database)
+
+
+def test_cleanup_takes_uris_and_hides_no_error(spark, tmp_path):
+    for i, form in enumerate(("{}", "file:{}", "file://{}")):
+        folder = tmp_path / str(i)
+        (folder / "x").mkdir(parents=True)
+        discard(spark, form.format(folder))
+        assert not folder.exists()
+    discard(spark, "nosuch://a/b")
+
+
+def test_the_stored_fact_is_in_order_of_time(spark, tmp_path, database):
+    log = [listen(1555286378 + 7919 * (i * 37 % 100), f"id-{i}", "s") for i in range(100)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run_etl(spark, write_text(tmp_path / "log.txt", lines(log)), database).discard()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = star_tables(spark, database)["user_listens"].groupBy("_metadata.file_path")
+    spans = sorted(files.agg(F.min("listen_time"), F.max("listen_time")).toPandas().iloc[:, 1:].itertuples(index=False))
+    assert len(spans) > 1
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_first_of_key_needs_no_sort_on_the_numbered_log(spark, tmp_path):
+    raw = numbered(extract(spark, write_text(tmp_path / "log.txt", lines([*records(), *records()]))))
+    assert raw.schema[ORDINAL].dataType.simpleString() == "bigint"
+    for name in ("users", "artists", "time"):
+        plan = valid_table(raw, name)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan
+    assert rows(valid_table(raw, "users").select("user_id", "user_name")) == USERS_EXPECTED
+
+
 def test_quarantine_reasons_per_parent(spark):
     fact = spark.createDataFrame([(1, 1), (2, 9), (9, 9), (None, 1)], "a int, b int")
     ones = spark.createDataFrame([(1,), (2,)], "k int")

@@ -1,4 +1,6 @@
+import base64
 import json
+from datetime import datetime
 
 import pytest
 from fixtures import rows
@@ -6,7 +8,7 @@ from fixtures import rows
 from earshot import schemas as S
 from earshot.sources.lake import compact, read_lake, register_lake, write_partitioned
 from earshot.streaming.enrich import enrich_events, rejected_events
-from earshot.streaming.jobs import read_events, run_stream, spread_for_writing
+from earshot.streaming.jobs import BUFFER_BYTES, read_events, run_stream, spread_for_writing, with_slot
 
 
 def event(i, name="a:b:c"):
@@ -20,7 +22,7 @@ def put(folder, name, texts):
 
 def drain(spark, source, root, **options):
     stream = read_events(spark, "text", str(source), maxFilesPerTrigger="1")
-    queries = run_stream(stream, str(root), once=True, files_per_hour=1, **options)
+    queries = run_stream(stream, str(root), once=True, **options)
     for query in queries:
         query.awaitTermination()
     return sum(p["numInputRows"] for p in queries[0].recentProgress)
@@ -73,14 +75,19 @@ def test_compaction_and_catalog(spark, tmp_path):
     target = str(tmp_path / "compacted")
     assert compact(spark, f"{root}/data", target, table) == 2
     assert compact(spark, f"{root}/data", target, table) == 0
+    nameless = {k: v for k, v in event(2).items() if k != "event_uuid"}
+    put(source, "1b.json", [nameless, nameless | {"event_name": "d"}])
+    drain(spark, source, root)
+    assert [compact(spark, f"{root}/data", target, table) for _ in range(3)] == [2, 0, 0]
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     put(source, "2.json", [event(1), event(2)])
     drain(spark, source, root)
     assert compact(spark, f"{root}/data", target, table) == 1
-    assert [r[0] for r in rows(spark.table(table))] == ["id-0", "id-1", "id-2"]
+    assert sorted(r[0] or "" for r in rows(spark.table(table))) == ["", "", "id-0", "id-1", "id-2"]
     assert len(spark.sql(f"SHOW PARTITIONS {table}").collect()) == 2
     assert spark.table(table).schema.names == [*S.LAKE_EVENT.names, *S.PARTITION_KEYS]
-    # one file per hour and compaction: 17 and 18 h first, then 18 h again
-    assert len(list((tmp_path / "compacted").rglob("*.snappy.parquet"))) == 3
+    # one file per hour and compaction: 17 and 18 h first, then 18 h twice
+    assert len(list((tmp_path / "compacted").rglob("*.snappy.parquet"))) == 4
     spark.sql(f"DROP TABLE {table}")
 
 
@@ -96,21 +103,53 @@ def test_existing_lake_gets_a_table(spark, tmp_path):
     spark.sql("DROP TABLE lake_events")
 
 
-def test_spread_splits_an_hour_over_writers(spark):
-    one_hour = spark.range(400).selectExpr(
-        "cast(id as string) as event_uuid", "2024 as year", "4 as month", "7 as day", "17 as hour"
-    )
-    used = spread_for_writing(one_hour, 16).selectExpr("spark_partition_id() as p").distinct().count()
-    assert used > 1
-    assert spread_for_writing(one_hour, 1).selectExpr("spark_partition_id() as p").distinct().count() == 1
+@pytest.mark.parametrize("tasks", [1, 4, 9])
+def test_writers_of_an_hour_grow_with_its_volume(spark, tasks):
+    one_hour = spark.range(0, 100 * tasks, 1, tasks).selectExpr("2024 as year", "4 as month", "7 as day", "17 as hour")
+    slotted = spread_for_writing(with_slot(one_hour))
+    assert slotted.select("_slot").distinct().count() == tasks
+    assert slotted.selectExpr("_slot", "spark_partition_id() as p").distinct().count() == tasks
+    assert (slotted.selectExpr("spark_partition_id() as p").distinct().count() > 1) == (tasks > 1)
+
+
+def test_late_first_events_and_events_without_id_stay(spark, tmp_path):
+    source, root = tmp_path / "in", tmp_path / "out"
+    old = event(9) | {"created_at": 1712511721 - 8 * 86_400}
+    nameless = {k: v for k, v in event(3).items() if k != "event_uuid"}
+    for i, texts in enumerate([[event(0), event(1)], [event(400)], [old, event(0)], [nameless, nameless], [nameless, event(2)]]):
+        put(source, f"{i}.json", texts)
+        drain(spark, source, root, dedupe=True)
+    found = [r[0] for r in lake(spark, root)]
+    assert sorted(x for x in found if x) == ["id-0", "id-1", "id-2", "id-400", "id-9"]
+    assert found.count(None) == 3
+
+
+def test_envelopes_and_their_errors(spark, tmp_path):
+    source, root = tmp_path / "in", tmp_path / "out"
+    texts = [json.dumps(event(0)), "{bad", json.dumps(event(1))]
+    records = [{"recordId": f"r{i}", "data": base64.b64encode(t.encode()).decode()} for i, t in enumerate(texts)]
+    put(source, "1.json", [*records, {"recordId": "r9", "data": "*"}])
+    stream = read_events(spark, "json", str(source), "recordId string, data string", buffer_bytes=BUFFER_BYTES)
+    for query in run_stream(stream, str(root), once=True, envelopes=True):
+        query.awaitTermination()
+    assert [r[0] for r in lake(spark, root)] == ["id-0", "id-1"]
+    errors = spark.read.schema("recordId string, reason string").json(f"{root}/errors")
+    assert rows(errors) == [("r1", "not a JSON object"), ("r9", "not base64 of UTF-8 text")]
+
+
+def test_a_start_time_needs_a_log(spark, tmp_path):
+    with pytest.raises(ValueError, match="start time"):
+        read_events(spark, "text", str(tmp_path), start=datetime(2024, 1, 1))
 
 
 def test_own_processor(spark, tmp_path):
     source, root = tmp_path / "in", tmp_path / "out"
     put(source, "1.json", [event(0), event(1, "x:y")])
     only_named = lambda df: enrich_events(df).where("event_subtype <> ''")
-    drain(spark, source, root, processor=only_named)
+    unnamed = lambda df: enrich_events(df).where("event_subtype = ''").selectExpr("event_uuid", "'no subtype' AS reason")
+    drain(spark, source, root, processor=only_named, rejects=unnamed)
     assert [r[0] for r in lake(spark, root)] == ["id-0"]
+    assert rows(spark.read.schema("event_uuid string, reason string").json(f"{root}/errors")) == [("id-1", "no subtype")]
 
 
 def test_kafka_needs_its_connector(spark):
