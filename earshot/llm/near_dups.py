@@ -27,6 +27,8 @@ BLOCK = 256
 HASH_BYTES = 6
 """Bytes of a shingle's hash in a stored set."""
 STEPS = constants(RANKS, 5)
+SKETCH_ROWS = 2000
+"""Texts whose sets a task holds at once."""
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -89,7 +91,7 @@ SKETCHED = T.StructType(
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Set size, node (hash of the whole set), bands and set of each text; the last column is the text."""
     salt = constants(1, 3)
-    for batch in batches:
+    for batch in (b.slice(low, SKETCH_ROWS) for b in batches for low in range(0, b.num_rows, SKETCH_ROWS)):
         sizes, nodes, keys, sets = [], [], [], []
         for _, words, edges in text_words(batch.column(batch.num_columns - 1)):
             for low, high in zip(edges[:-1], edges[1:], strict=True):
