@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from earshot.llm.clean_lines import clean_lines
+from earshot.llm.clean_lines import BOILERPLATE, clean_lines
 from earshot.llm.decontaminate import benchmark_matches, leaked_pairs
 from earshot.llm.lm_score import lm_scores
 from earshot.llm.mixing import mix_sources
@@ -92,5 +92,60 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+
+OP2 = f"""
+WITH RECURSIVE cut AS (SELECT doc_id, {WORDS.format(f"coalesce({LOWER}, '')")} AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM cut
+),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM each AS a JOIN each AS b USING (x)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       coalesce(component_id, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN low ON a = doc_id"""
+
+OP4 = f"""
+WITH cut AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w, coalesce(text, '') AS t FROM documents),
+lined AS (SELECT *, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS l FROM cut),
+windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest([array_to_string(w[i:i + 7], ' ') FOR i IN range(1, len(w) - 6)]) AS x
+    FROM cut WHERE len(w) >= 8
+),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1),
+steps AS (SELECT doc_id, least(8, i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), i - 8)) AS k FROM twice),
+repeated AS (SELECT doc_id, sum(k)::BIGINT AS n FROM steps GROUP BY doc_id),
+judged AS (
+    SELECT doc_id, unnest(l) AS x FROM lined
+),
+parts AS (
+    SELECT *, len({WORDS.format("x")}) AS words, len(regexp_extract_all(x, '[|»›•·→>]')) AS cuts,
+           len(regexp_extract_all(x, '[#*$%&|<>]')) AS signs, len(regexp_extract_all(x, '[!?]{{2,}}')) AS marks FROM judged
+),
+lost AS (
+    SELECT doc_id, sum(words)::BIGINT AS n FROM parts
+    WHERE (cuts >= 3 AND 4 * cuts >= words) OR (signs > 0 AND 10 * signs >= length(x))
+       OR NOT regexp_matches(x, '[.!?…。！？]["'')\\]»”’]*([\\x20\\x09-\\x0D]|$)') OR (marks > 0 AND 4 * marks >= words)
+       OR (length(x) <= 200 AND regexp_matches(x, '{{BOILERPLATE}}'))
+    GROUP BY doc_id
+),
+counted AS (
+    SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+           coalesce(repeated.n, 0) AS n_repeat_words, len(w) - coalesce(lost.n, 0) AS n_clean_words
+    FROM lined LEFT JOIN repeated USING (doc_id) LEFT JOIN lost USING (doc_id)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_words - n_clean_words <= 0.3 * n_words AS kept
+FROM counted"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_super_minhash": OP2, "op4_line_first": OP4.replace("{BOILERPLATE}", BOILERPLATE)}

@@ -1,0 +1,120 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from earshot.llm import privacy, secrets
+
+PERSONAL = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+SECRET = {
+    "assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]+",
+}
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def personal(text):
+    def good(kind, found):
+        digits = re.sub("[^0-9]", "", found)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in found.split("."))
+        if kind == "card":
+            return 16 <= len(digits) <= 19 and luhn(digits)
+        return kind == "email" or 8 <= len(digits) <= 15
+
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in PERSONAL.items() for m in re.finditer(p, text) if good(k, m[0])]
+
+
+def secret(text):
+    found = []
+    for place, (kind, pattern) in enumerate(SECRET.items()):
+        for m in re.finditer(pattern, text):
+            if len(m[2] if kind == "assign" else m[0]) >= {"assign": 6, "access": 20, "hex": 24}[kind]:
+                found.append((m.start(), place, f"{kind}:{m.start()}:{m.end()}"))
+    return [x[2] for x in sorted(found)]
+
+
+def texts(alphabet, n, seed):
+    draw = random.Random(seed)
+    return ["".join(draw.choices(alphabet, k=draw.randint(0, 60))) for _ in range(n)]
+
+
+EDGE = [None, "", "é💡", "a" * 20000, "1" * 20000, "a.b@" * 3000, "1.2.3." * 3000, "+1 " * 3000, "token=" * 3000, "0af" * 9000]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_personal_patterns_equal_plain_python(docs_of, seed):
+    parts = ["a", "b.", "@", "-", "_", "x@y.z", " ", "1", "25", "256", ".", "4111111111111111", "4111 1111-1111 1111", "+49", "(", ")", "é", "💡", "\n"]
+    rows = EDGE + texts(parts, 300, seed)
+    found = privacy.personal_data_digest(privacy.find_personal_data(docs_of(rows, "1 AS base"))).collect()
+    for r in found:
+        want = personal(rows[r.doc_id] or "")
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), rows[r.doc_id]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x.startswith(k) for x in want) for k in PERSONAL]
+        assert r.spans.startswith(",".join(want))
+    assert len(found) == len(rows)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_secret_patterns_equal_plain_python(docs_of, seed):
+    parts = ["token", "Secret", "api_key", "=", ":", " ", '"', "'", "abcdef", "ab", "AKIA", "ABCDEFGH12345678", "0123456789abcdef01234567", "é", "💡", "\n"]
+    rows = EDGE + texts(parts, 300, seed)
+    found = secrets.secrets_digest(secrets.find_secrets(docs_of(rows, "1 AS linked"))).collect()
+    for r in found:
+        want = secret(rows[r.doc_id] or "")
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), rows[r.doc_id]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(x.startswith(k) for x in want) for k in SECRET]
+    assert len(found) == len(rows)
+
+
+def test_terms_that_give_an_entity_away_are_hidden(docs_of):
+    mail = "kim@example.org"
+    said = [f"Please write to Doctor Zyxwoman at {mail} about case number{i} and other common things" for i in range(4)]
+    other = [f"Please write about case number{i} and other common things" for i in range(40)]
+    found = {r.doc_id: r for r in privacy.find_personal_data(docs_of(said + other + [said[0]])).collect()}
+    for i in (0, 1, 2, 3, 44):
+        hidden = {x.found for x in found[i].hidden_terms}
+        assert "zyxwoman" in hidden and "please" not in hidden and "common" not in hidden
+        assert "Zyxwoman" not in found[i].safe_text and mail not in found[i].safe_text and "common" in found[i].safe_text
+    assert all(found[i].safe_text == other[i - 4] for i in range(4, 44))
+
+
+def test_replacement_of_overlapping_spans(docs_of):
+    [row] = privacy.find_personal_data(docs_of(["x +1.2.3.4.5.6.7.8 y"])).collect()
+    assert [s.kind for s in row.base] == ["ip", "ip", "phone"]
+    assert row.safe_text == "x [PHONE] y"
+
+
+WEAK = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY1"
+
+
+@pytest.mark.parametrize(
+    ("text", "linked"),
+    [
+        (f"user=bob\nhost: db.example.com\nvalue {WEAK} ok", [("user=bob", "host: db.example.com")]),
+        (f"see https://api.example.org/v1 with {WEAK}", [(None, "https://api.example.org/v1")]),
+        (f"value {WEAK} alone", []),
+        (f"user=bob\n\nvalue {WEAK} in another scope", []),
+        (f"user=bob {'x ' * 300}{WEAK}", []),
+        ("login: amy pwd: hunter22", [("login: amy", None)]),
+        (f"user=bob token={WEAK}", []),
+    ],
+)
+def test_weak_candidates_need_their_complement(docs_of, text, linked):
+    [row] = secrets.find_secrets(docs_of([text])).collect()
+    assert [(x.identifier, x.endpoint) for x in row.linked] == linked
+
+
+def test_no_rows(docs_of):
+    none = docs_of(["a"]).where("false")
+    assert privacy.find_personal_data(none).count() == 0 and secrets.find_secrets(none).count() == 0
