@@ -65,7 +65,7 @@ if __name__ == "__main__":
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark, connection = session(), oracle(folder)
-    chosen = sys.argv[2:] or list(entry.queries())
+    chosen = sys.argv[2:] or list(entry.oracle_sql())
     failed = 0
     for key in chosen:
         start = time.time()

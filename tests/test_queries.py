@@ -18,11 +18,11 @@ def connection():
     return oracle(DIR)
 
 
-def test_keys_match():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_sql_text_has_its_query():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", entry.queries())
+@pytest.mark.parametrize("key", entry.oracle_sql())
 def test_query(spark, connection, key):
     assert check(spark, connection, key, entry.queries()[key], entry.oracle_sql()[key], DIR) == ""
 
