@@ -7,6 +7,7 @@ the raw events, ``customer`` are the users.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from importlib.util import find_spec
@@ -28,11 +29,12 @@ from earshot.operators.union import union_by_name
 from earshot.operators.upsert import new_rows
 from earshot.operators.validation import Rule, RuleSet, not_blank, not_null, rejected_rows, valid_rows
 from earshot.plans import analyses as A
-from earshot.plans.etl import rejected_table, transform, valid_table
-from earshot.plans.sql import run_sql
+from earshot.plans.etl import rejected_table, run_etl, transform, valid_table
+from earshot.plans.sql import analysis, run_sql
 from earshot.plans.star import calendar_columns
-from earshot.sources.lake import dedupe_events, read_lake, write_partitioned
-from earshot.sources.listens import ORDINAL, flatten
+from earshot.sources.lake import dedupe_events, read_lake, register_lake, write_partitioned
+from earshot.sources.listens import ORDINAL, extract, flatten
+from earshot.sources.tables import list_tables, star_tables
 from earshot.streaming import enrich as N
 from earshot.streaming import jobs as J
 
@@ -364,9 +366,27 @@ def envelope(spark, d):
     )
 
 
+def nameless_events(events: DataFrame) -> DataFrame:
+    """JSON events of which every tenth lacks its id."""
+    text = F.col("value")
+    without = F.regexp_replace(text, '"event_uuid":"[^"]*",', "")
+    return json_events(events).withColumn("value", F.when(F.col("event_id") % 10 == 0, without).otherwise(text))
+
+
 def batch_dedupe(spark, d):
-    events = N.enrich_events(json_events(table(spark, d, "events")))
-    return dedupe_events(events.unionByName(events)).select("event_uuid", "event_type")
+    """Copies that are later and have another name, and events without an id, of which both copies stay."""
+    events = table(spark, d, "events")
+    later = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).withColumn("event_type", F.upper("event_type"))
+    both = nameless_events(later).unionByName(nameless_events(events))
+    return dedupe_events(N.enrich_events(both)).select("event_uuid", "event_name")
+
+
+def lake_table(spark, d):
+    """The lake as an external table of the catalog."""
+    path, name = scratch_path(spark, "lake"), f"lake_{uuid.uuid4().hex}"
+    write_partitioned(N.enrich_events(json_events(table(spark, d, "events"))), path)
+    register_lake(spark, name, path)
+    return spark.table(name).where("month = 1").select("event_uuid", "day", "hour")
 
 
 def _event_stream(spark, d):
@@ -376,22 +396,109 @@ def _event_stream(spark, d):
     return json_events(source)
 
 
-def _drain(stream: DataFrame, spark: SparkSession, dedupe: bool) -> DataFrame:
+def _drain(stream: DataFrame, spark: SparkSession, **options) -> DataFrame:
     root = scratch_path(spark, "stream")
-    queries = J.run_stream(stream, root, dedupe=dedupe, once=True)
+    queries = J.run_stream(stream, root, once=True, **options)
     for query in queries:
         query.awaitTermination()
     return read_lake(spark, f"{root}/data")
 
 
 def stream_enrich(spark, d):
-    return _lake_view(_drain(_event_stream(spark, d), spark, dedupe=False))
+    return _lake_view(_drain(_event_stream(spark, d), spark))
 
 
 def stream_dedupe(spark, d):
-    stream = _event_stream(spark, d)
-    twice = stream.unionByName(_event_stream(spark, d))
-    return _drain(twice, spark, dedupe=True).select("event_uuid", "event_type")
+    """Each event in two of several files that are not in order of time, one file for each trigger, every tenth without an id."""
+    path = scratch_path(spark, "events")
+    events = table(spark, d, "events")
+    mixed = nameless_events(events.unionByName(events)).repartition(5, F.rand(7)).select("value")
+    mixed.write.text(path)
+    stream = J.read_events(spark, "text", path, maxFilesPerTrigger="1")
+    return _drain(stream, spark, dedupe=True).select("event_uuid", "event_type")
+
+
+def stream_envelope(spark, d):
+    """Records with base64 data."""
+    records = _event_stream(spark, d).select(F.concat(F.lit("rec-"), "event_id").alias("recordId"), encode_text(F.col("value")).alias("data"))
+    return _lake_view(_drain(records, spark, envelopes=True))
+
+
+def stream_processor(spark, d):
+    """A processor of one's own: payments only, others are its rejects."""
+    payments = F.col("event_type") == "payment"
+    kept = _drain(
+        _event_stream(spark, d),
+        spark,
+        processor=lambda df: N.enrich_events(df).where(payments),
+        rejects=lambda df: N.enrich_events(df).where(~payments).select("event_uuid", F.lit("no payment").alias("reason")),
+    )
+    return kept.select("event_uuid", "event_name")
+
+
+# --- the log as files, the star as tables -------------------------------------------------
+
+
+def _log(spark, d):
+    path = f"{scratch_path(spark, 'log')}/listens.json"
+    raw_listens(spark, d).drop(ORDINAL).write.json(path)
+    return path
+
+
+def scan_json_lines(spark, d):
+    """The log written as JSON lines, read and flattened."""
+    flat = flatten(extract(spark, _log(spark, d)))
+    names = {"recording_msid": "id", "user_name": "user_name", "listened_at": "listened_at", "track_metadata.release_name": "album"}
+    return flat.select(*[F.col(f"`{path}`").alias(name) for path, name in names.items()])
+
+
+def _loaded(spark, d) -> str:
+    """A database into which the log was loaded twice."""
+    database = f"star_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'star')}'")
+    path = _log(spark, d)
+    for _ in range(2):
+        run_etl(spark, path, database).discard()
+    return database
+
+
+def etl_tables(spark, d):
+    """Rows of each table that the database lists."""
+    database = _loaded(spark, d)
+    counts = [spark.table(f"{database}.{t}").agg(F.lit(t).alias("name"), F.count("*").alias("n")) for t in list_tables(spark, database)]
+    return union_by_name(counts)
+
+
+def etl_fact(spark, d):
+    return spark.table(f"{_loaded(spark, d)}.user_listens")
+
+
+def etl_users_on_day(spark, d):
+    return analysis(spark, "users_on_day", _loaded(spark, d), year=DAY.year, month=DAY.month, day=DAY.day)
+
+
+def etl_top_days(spark, d):
+    return A.top_days(star_tables(spark, _loaded(spark, d))["user_listens"])
+
+
+TYPED = RuleSet("typed", "event_id", S.T.StructType([S.T.StructField("event_id", S.T.LongType()), S.T.StructField("amount", S.T.IntegerType())]), ())
+
+
+def type_conformance(spark, d):
+    """Values that do not fit their column: a word, a fraction, a number too large."""
+    kind = F.col("event_id") % 7
+    odd = F.when(kind == 1, "many").when(kind == 3, "99999999999").when(kind == 5, None)
+    texts = table(spark, d, "events").select("event_id", F.when(kind.isin(1, 3, 5), odd).otherwise(F.col("event_id").cast("string")).alias("amount"))
+    return valid_rows(texts, TYPED, "event_id").select("event_id", "amount")
+
+
+def blank_texts(spark, d):
+    """Blank and empty priorities are rejected; a null is the business of another rule."""
+    kind = F.col("o_orderkey") % 5
+    blank = F.when(kind == 0, " \t").when(kind == 1, "").when(kind == 2, None).otherwise(F.col("o_orderpriority"))
+    rules = RuleSet("texts", "o_orderkey", S.T.StructType([S.T.StructField("o_orderkey", S.T.LongType())]), (not_blank("o_orderpriority"),))
+    bad = rejected_rows(table(spark, d, "orders").withColumn("o_orderpriority", blank), rules, "o_orderkey")
+    return bad.select("o_orderkey", F.array_join("reasons", "; ").alias("reasons"))
 
 
 def stream_errors(spark, d):
@@ -515,6 +622,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_enrich": stream_enrich,
         "stream_dedupe": stream_dedupe,
         "stream_errors": stream_errors,
+        "stream_envelope": stream_envelope,
+        "stream_processor": stream_processor,
+        "lake_table": lake_table,
+        "scan_json_lines": scan_json_lines,
+        "etl_tables": etl_tables,
+        "etl_fact": etl_fact,
+        "etl_users_on_day": etl_users_on_day,
+        "etl_top_days": etl_top_days,
+        "type_conformance": type_conformance,
+        "blank_texts": blank_texts,
         "q_top_users": q_top_users,
         "q_users_on_day": q_users_on_day,
         "q_users_on_day_joined": q_users_on_day_joined,
@@ -561,6 +678,11 @@ _ORDER_FLAGS = (
     "regexp_matches(o_orderpriority, '^\\s*$') AS is_blank, o_orderstatus = 'P' AS is_pending, "
     "o_totalprice < 1000 AS is_cheap FROM orders"
 )
+_FACT = (
+    f"SELECT CAST(event_id AS VARCHAR) AS listen_id, sha256(c_name) AS user_id, {_SECONDS} AS listen_time, "
+    "event_type AS artist_id, event_type || ' ' || props AS song_name, props AS album_name "
+    "FROM events JOIN customer ON c_custkey = user_id WHERE event_id % 8 <> 0"
+)
 _PER_DAY = "SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY ALL"
 _ERRORS = (
     "SELECT event_id, CASE event_id % 9 WHEN 1 THEN 'not a JSON object' WHEN 3 THEN 'created_at is not a time' "
@@ -628,11 +750,7 @@ def oracle_sql() -> dict[str, str]:
             "dayname(make_timestamp(listen_time * 1000000)) AS day_name "
             f"FROM (SELECT DISTINCT {_SECONDS} AS listen_time FROM events)"
         ),
-        "fact_listens": (
-            f"SELECT CAST(event_id AS VARCHAR) AS listen_id, sha256(c_name) AS user_id, {_SECONDS} AS listen_time, "
-            "event_type AS artist_id, event_type || ' ' || props AS song_name, props AS album_name "
-            "FROM events JOIN customer ON c_custkey = user_id WHERE event_id % 8 <> 0"
-        ),
+        "fact_listens": _FACT,
         "fact_rejects": (
             "SELECT CAST(event_id AS VARCHAR) AS listen_id, 'album_name: null' AS reasons "
             "FROM events WHERE event_id % 8 = 0"
@@ -730,9 +848,46 @@ def oracle_sql() -> dict[str, str]:
             "strftime(ts, '%Y-%m-%dT%H:%M:%S') AS created_datetime, "
             f"{_TYPE} AS event_type, user_id AS context_user, {_keys('ts')} FROM events"
         ),
-        "batch_dedupe": f"SELECT CAST(event_id AS VARCHAR) AS event_uuid, {_TYPE} AS event_type FROM events",
+        "batch_dedupe": (
+            f"SELECT CASE WHEN event_id % 10 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_uuid, {_NAME} AS event_name FROM events "
+            f"UNION ALL SELECT NULL, {_NAME.replace('event_type', 'upper(event_type)')} FROM events WHERE event_id % 10 = 0"
+        ),
+        "lake_table": (
+            "SELECT CAST(event_id AS VARCHAR) AS event_uuid, CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour "
+            "FROM events WHERE month(ts) = 1"
+        ),
+        "stream_envelope": _lake_sql(),
+        "stream_processor": (
+            f"SELECT CAST(event_id AS VARCHAR) AS event_uuid, {_NAME} AS event_name FROM events WHERE event_id % 3 = 0"
+        ),
+        "scan_json_lines": (
+            f"SELECT CAST(event_id AS VARCHAR) AS id, c_name AS user_name, CAST({_SECONDS} AS VARCHAR) AS listened_at, "
+            "CASE WHEN event_id % 8 <> 0 THEN props END AS album FROM events JOIN customer ON c_custkey = user_id"
+        ),
+        "etl_tables": (
+            "SELECT 'users' AS name, count(DISTINCT c_name) AS n FROM events JOIN customer ON c_custkey = user_id "
+            "UNION ALL SELECT 'artists', count(DISTINCT event_type) FROM events "
+            f"UNION ALL SELECT 'time', count(DISTINCT {_SECONDS}) FROM events "
+            "UNION ALL SELECT 'user_listens', count(*) FROM events WHERE event_id % 8 <> 0"
+        ),
+        "etl_fact": _FACT,
+        "etl_users_on_day": f"{on_day} AND event_id % 8 <> 0",
+        "etl_top_days": (
+            "SELECT sha256(c_name) AS user, n AS number_of_listens, d AS date FROM (SELECT c_name, CAST(ts AS DATE) AS d, count(*) AS n "
+            "FROM events JOIN customer ON c_custkey = user_id WHERE event_id % 8 <> 0 GROUP BY ALL) "
+            "QUALIFY dense_rank() OVER (PARTITION BY c_name ORDER BY n DESC) < 4"
+        ),
+        "type_conformance": (
+            "SELECT event_id, CASE WHEN event_id % 7 <> 5 THEN CAST(event_id AS INTEGER) END AS amount FROM events WHERE event_id % 7 NOT IN (1, 3)"
+        ),
+        "blank_texts": (
+            "SELECT o_orderkey, 'o_orderpriority: blank' AS reasons FROM orders WHERE o_orderkey % 5 IN (0, 1)"
+        ),
         "stream_enrich": _lake_sql(),
-        "stream_dedupe": f"SELECT CAST(event_id AS VARCHAR) AS event_uuid, {_TYPE} AS event_type FROM events",
+        "stream_dedupe": (
+            f"SELECT CASE WHEN event_id % 10 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_uuid, {_TYPE} AS event_type FROM events "
+            f"UNION ALL SELECT NULL, {_TYPE} FROM events WHERE event_id % 10 = 0"
+        ),
         "stream_errors": _ERRORS,
         "q_top_users": top_users,
         "q_users_on_day": on_day,
