@@ -16,6 +16,7 @@ class _NamedError(Exception):
         return f"{type(self).__name__}: {self.error}"
 
 
+# fixed values: the names of the next two classes
 class UnsupportedFileFormatException(_NamedError):
     """The path has an extension that no reader handles."""
 

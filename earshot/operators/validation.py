@@ -138,4 +138,5 @@ def check_required(schema: T.StructType, required: Sequence[str]) -> None:
 
 def raise_missing(missing: Sequence[str]) -> None:
     if missing:
+        # fixed value: the text of the error
         raise MissingDataException(f"Data has missing columns: {list(missing)}")

@@ -89,11 +89,11 @@ def run_etl(
     """
     scratch = scratch_path(spark, "etl")
     try:
-        logger.info("Extracting '%s'", path)
+        logger.info("Staging the fields of '%s' in '%s'", path, scratch)
         raw, seen = observed(extract(spark, path, schema), "extracted")
         listens = staged(raw, f"{scratch}/listens")
         extracted = seen.get["rows"]
-        logger.info("Extracted '%s', rows: %d", path, extracted)
+        logger.info("Staged %d listens", extracted)
         if schema is not None:
             raise_missing(absent_paths(listens, raw_lines(spark, path), S.REQUIRED_PATHS))
 
@@ -103,10 +103,10 @@ def run_etl(
         }
         result = load(spark, frames, database, orphans, buckets)
     except Exception:
-        logger.exception("Failed to process '%s'", path)
+        logger.exception("Stopped at '%s'; its staged tables are deleted", path)
         discard(spark, scratch)
         raise
-    logger.info("Loaded into '%s': %s", database, dict(result.offered))
+    logger.info("Rows offered to the tables of '%s': %s", database, dict(result.offered))
     return EtlResult(extracted, result, listens, rules, scratch)
 
 

@@ -50,7 +50,7 @@ RAW_LISTEN = T.StructType(
     ]
 )
 
-# --- star tables ---------------------------------------------------------------
+# --- star tables; fixed values: table and column names, types ---------------------------------------------------------------
 
 USERS = T.StructType(
     [
@@ -110,6 +110,7 @@ ENVELOPE = T.StructType(
     ]
 )
 
+# fixed values: column names and types of the lake
 LAKE_EVENT = T.StructType(
     [
         T.StructField("event_uuid", T.StringType()),

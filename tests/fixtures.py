@@ -7,6 +7,7 @@ import json
 import zipfile
 from pathlib import Path
 
+# fixed values: ids, titles and times with a known result
 USER_SHA = "c64ba6063cb5efef6934052fd04f977a3fd3a53c135c8e94f4e53d555ff6db9e"
 ARTIST = "f1d39567-27e7-40af-852a-abaed88ec838"
 
