@@ -278,7 +278,7 @@ def win_count_ordered(spark, d):
 
 def win_count_partition(spark, d):
     days = A.dated(listens(spark, d)).select("user_id", "date").distinct()
-    return with_group_count(days, "date", "user_id", "n_users")
+    return with_group_count(days, "date", "user_id", "n_users", stage=True)
 
 
 # --- events -----------------------------------------------------------------------------

@@ -8,11 +8,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 logger = logging.getLogger(__name__)
 
 BROADCAST_ROWS = 1_000_000
 """Most rows of a key table (a few narrow columns) that is sent to every executor."""
+BROADCAST_BYTES = 64 << 20
+"""Most bytes of its texts, arrays and the like."""
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -74,6 +77,15 @@ def measured(df: DataFrame) -> tuple[DataFrame, int]:
     return kept, kept.count()
 
 
+def variable_bytes(df: DataFrame) -> int:
+    """Bytes of the columns whose width is not fixed, as JSON text; one aggregate if there are any."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    wide = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, fixed)]
+    if not wide:
+        return 0
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*wide))))).first()[0] or 0
+
+
 def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcasting if its measured size allows; else Spark shuffles it."""
-    return F.broadcast(df) if rows <= limit else df
+    """Mark a measured table for broadcasting if its rows and bytes allow; else Spark shuffles it."""
+    return F.broadcast(df) if rows <= limit and variable_bytes(df) <= BROADCAST_BYTES else df
