@@ -1,10 +1,10 @@
 """Row numbers and lags within a key, for keys of any size.
 
 A plain window brings all rows of a key into one task. The functions here first
-measure which keys exceed ``max_rows`` (an aggregate over the key column alone).
-If there are none, the plain window is what runs. A heavier key is cut into time
-slices that are numbered in parallel, and each slice starts from the number of
-rows in the slices before it.
+measure which keys exceed ``max_rows`` (an aggregate over the key column alone,
+run while the plan is built). If there are none, the plain window is what runs.
+A heavier key is cut into slices of even size that are numbered in parallel, and
+each slice starts from the number of rows in the slices before it.
 """
 
 from __future__ import annotations
@@ -12,39 +12,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from earshot.functions.calendar import epoch_seconds
-from earshot.operators.sizing import broadcast_within, measured
+from earshot.operators.sizing import broadcast_within, measured, scratch_path, staged
 
 MAX_ROWS = 10_000_000
 """Rows of one key that a single task sorts without trouble."""
 
-_FIRST_SLICE = -(2**62)
-
 
 def heavy_keys(df: DataFrame, key: str, max_rows: int = MAX_ROWS) -> tuple[DataFrame, int]:
-    """Keys with more than ``max_rows`` rows: at most the row total divided by it."""
+    """Keys with more than ``max_rows`` rows, and these rows: at most the row total divided by it."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return measured(counts.where(F.col("_rows") > max_rows).select(F.col(key).alias("_heavy")))
+    return measured(counts.where(F.col("_rows") > max_rows).select(F.col(key).alias("_heavy"), "_rows"))
 
 
-def _in(df: DataFrame, key: str, heavy: DataFrame, n: int, how: str) -> DataFrame:
-    return df.join(broadcast_within(heavy, n), F.col(key).eqNullSafe(F.col("_heavy")), how)
+def _slices(heavy: DataFrame, max_rows: int) -> int:
+    """So many slices that one has half of ``max_rows`` rows."""
+    total = heavy.agg(F.sum("_rows")).first()[0]
+    return max(1, -(-2 * total // max(max_rows, 1)))
 
 
-def _second(time: str, dtype: T.DataType) -> Column:
-    """A whole number that never decreases as ``time`` grows; nulls come first."""
-    moment = F.col(time)
-    if isinstance(dtype, T.TimestampNTZType):
-        number = epoch_seconds(moment)
-    elif isinstance(dtype, T.TimestampType):
-        number = F.unix_seconds(moment)
-    elif isinstance(dtype, T.DateType):
-        number = F.unix_date(moment).cast("bigint")
-    else:
-        number = F.floor(moment).cast("bigint")
-    return F.coalesce(number, F.lit(_FIRST_SLICE))
+def _in(df: DataFrame, key: str, heavy: DataFrame, n: int, how: str) -> DataFrame:
+    return df.join(broadcast_within(heavy.select("_heavy"), n), F.col(key).eqNullSafe(F.col("_heavy")), how)
 
 
 def _order(columns: list[str], newest_first: bool) -> list[Column]:
@@ -54,15 +42,20 @@ def _order(columns: list[str], newest_first: bool) -> list[Column]:
 
 
 def _number_slices(
-    df: DataFrame, key: str, time: str, ties: list[str], newest_first: bool, out: str
+    df: DataFrame, key: str, time: str, ties: list[str], newest_first: bool, out: str, slices: int
 ) -> DataFrame:
-    """Row numbers by slices of one second per key. Null keys count as a key."""
-    sliced = df.withColumn("_slice", _second(time, df.schema[time].dataType))
-    by_slice = W.partitionBy(key, "_slice").orderBy(*_order([time, *ties], newest_first))
-    local = sliced.withColumn("_local", F.row_number().over(by_slice))
+    """Row numbers by slices of even size, cut at sampled quantiles of key, time and ties.
+
+    The ties make the order total, so a second or a null time with very many
+    rows is cut as well. The slices are staged, as their borders come from a
+    sample. Null keys count as a key.
+    """
+    order = _order([time, *ties], newest_first)
+    ranged = df.repartitionByRange(slices, F.asc(key), *order).withColumn("_slice", F.spark_partition_id())
+    sliced = staged(ranged, scratch_path(df.sparkSession, "slices"))
+    local = sliced.withColumn("_local", F.row_number().over(W.partitionBy(key, "_slice").orderBy(*order)))
 
-    direction = F.desc("_part") if newest_first else F.asc("_part")
-    earlier = W.partitionBy("_key").orderBy(direction).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_key").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     sizes = sliced.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_part"))
     starts = (
         sizes.agg(F.count(F.lit(1)).alias("_size"))
@@ -93,7 +86,7 @@ def row_numbers(
     if n == 0:
         return df.withColumn(out, plain)
     light = _in(df, key, heavy, n, "left_anti").withColumn(out, plain)
-    cut = _number_slices(_in(df, key, heavy, n, "left_semi"), key, time, ties, newest_first, out)
+    cut = _number_slices(_in(df, key, heavy, n, "left_semi"), key, time, ties, newest_first, out, _slices(heavy, max_rows))
     return light.unionByName(cut)
 
 
@@ -117,7 +110,7 @@ def lagged(
     if n == 0:
         return df.withColumn(out, plain)
     light = _in(df, key, heavy, n, "left_anti").withColumn(out, plain)
-    cut = _number_slices(_in(df, key, heavy, n, "left_semi"), key, time, ties, False, "_number")
+    cut = _number_slices(_in(df, key, heavy, n, "left_semi"), key, time, ties, False, "_number", _slices(heavy, max_rows))
     source = cut.select(
         F.col(key).alias("_key"), (F.col("_number") + offset).alias("_at"), F.col(value).alias(out)
     )

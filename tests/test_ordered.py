@@ -6,6 +6,7 @@ from fixtures import rows
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from earshot.operators import ordered
 from earshot.operators.grouping import with_group_count
 from earshot.operators.ordered import heavy_keys, lagged, row_numbers
 
@@ -48,6 +49,25 @@ def test_lag_equals_the_plain_window(spark, kind):
         assert rows(lagged(df, "k", "t", ["id"], "v", 6, "p", max_rows)) == expected
 
 
+@pytest.mark.parametrize("moment", [7, None])
+def test_one_second_or_null_times_only_are_cut_too(spark, moment, monkeypatch):
+    df = spark.range(1000).selectExpr("1 as k", "cast(null as bigint) as t" if moment is None else f"{moment}L as t", "id", "cast(id as string) as v")
+    sizes = []
+    stage = ordered.staged
+
+    def watched(frame, path):
+        kept = stage(frame, path)
+        sizes.extend(r[0] for r in kept.groupBy("_slice").count().select("count").collect())
+        return kept
+
+    monkeypatch.setattr(ordered, "staged", watched)
+    numbered = row_numbers(df, "k", "t", ["id"], "rn", max_rows=100)
+    assert [(r.id, r.rn) for r in numbered.orderBy("id").collect()] == [(i, i + 1) for i in range(1000)]
+    assert len(sizes) > 10 and max(sizes) <= 200
+    behind = lagged(df, "k", "t", ["id"], "v", 6, "p", max_rows=100)
+    assert [r.p for r in behind.orderBy("id").collect()] == [None] * 6 + [str(i) for i in range(994)]
+
+
 def test_heavy_keys(spark):
     keys, n = heavy_keys(frame(spark, "bigint"), "k", 60)
     assert n == 1 and keys.first()[0] == 1
