@@ -25,7 +25,7 @@ LIKELY = 0.6
 BLOCK = 256
 """Documents of a bucket that are compared in one block."""
 HASH_BYTES = 6
-"""Bytes of a shingle's hash in a stored set."""
+"""Bytes of a shingle's hash in a stored set: the upper ones, so that sets stay sorted."""
 STEPS = constants(RANKS, 5)
 SKETCH_ROWS = 2000
 """Texts whose sets a task holds at once."""
@@ -105,7 +105,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total = np.bitwise_xor.reduce(mix(found + salt)) + np.uint64(len(found)) * salt
                 nodes.append(int(mix(total).view(np.int64)[0]))
                 keys.append(bands(super_minhash(found)))
-                sets.append(found.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes())
+                sets.append(found.view(np.uint8).reshape(-1, 8)[:, -HASH_BYTES:].tobytes())
         made = [
             pa.array(sizes, pa.int64()),
             pa.array(nodes, pa.int64()),
@@ -118,7 +118,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def unpack(stored: bytes) -> np.ndarray:
     wide = np.zeros((len(stored) // HASH_BYTES, 8), np.uint8)
-    wide[:, :HASH_BYTES] = np.frombuffer(stored, np.uint8).reshape(-1, HASH_BYTES)
+    wide[:, -HASH_BYTES:] = np.frombuffer(stored, np.uint8).reshape(-1, HASH_BYTES)
     return wide.view(np.uint64).ravel()
 
 
