@@ -116,18 +116,23 @@ def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame:
     """
     spark = texts.sparkSession
     near = staged(_contexts(found), scratch_path(spark, "contexts"))
+    total = texts.select("key").distinct().count()
+    entities = found.select("key", F.explode("base").alias("e")).select("key", F.xxhash64("e.kind", F.lower("e.found")).alias("entity"))
+    entities = entities.distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     together = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-    together, n_pairs = measured(together.where(F.col("both") >= MIN_TEXTS))
+    together = together.where(F.col("both") >= MIN_TEXTS).join(entities, "entity")
+    # A term can only disclose an entity if it is in few enough texts; it is at least in those of its contexts.
+    most = F.col("both") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - ALPHA)) * (1 + 1e-9)
+    near_texts = near.select("term", "key").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    together = together.join(near_texts, "term").where(F.col("n_near") <= most)
+    together, n_pairs = measured(together.select("entity", "term", "both", "n_entity"))
     if not n_pairs:
         return near.select("key", F.array().cast(f"array<{SPAN}>").alias("terms")).limit(0)
-    entities = found.select("key", F.explode("base").alias("e")).select("key", F.xxhash64("e.kind", F.lower("e.found")).alias("entity"))
-    entities = entities.distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     terms, n_terms = measured(together.select("term").distinct())
     spoken = texts.select("key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({TERM})"), F.lit(1)))).alias("term"))
     spoken = spoken.join(broadcast_within(terms, n_terms), "term", "left_semi")
     spoken = spoken.distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    total = texts.select("key").distinct().count()
-    judged = together.join(entities, "entity").join(spoken, "term")
+    judged = together.join(spoken, "term")
     information = F.lit(math.log2(max(total, 1))) - F.log2("n_entity")
     mutual = F.log2(F.col("both") * total / (F.col("n_term") * F.col("n_entity")))
     telling = judged.where((information > 0) & (mutual >= ALPHA * information)).select("entity", "term")
