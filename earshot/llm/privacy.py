@@ -177,14 +177,14 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     found = texts.withColumn("base", base_spans(F.col("text"))).where(F.size("base") > 0).dropDuplicates(["key"])
     found = staged(found, scratch_path(spark, "entities"))
     hidden, n_hidden = measured(disclosing_terms(texts, found))
-    hidden = hidden.withColumnRenamed("key", "_hidden_key")
+    hidden = hidden.withColumnsRenamed({"key": "_hidden_key", "terms": "_hidden_terms"})
     out = docs.withColumns({"_safe": text, "_key": F.xxhash64(text)})
     out = out.withColumn("base", base_spans(F.col("_safe")))
     out = out.join(broadcast_within(hidden, n_hidden, 100_000), out["_key"] == hidden["_hidden_key"], "left")
-    terms = F.coalesce("terms", F.array().cast(f"array<{SPAN}>"))
+    terms = F.coalesce("_hidden_terms", F.array().cast(f"array<{SPAN}>"))
     out = out.withColumn("hidden_terms", terms)
     safe = replaced(F.col("_safe"), F.concat("base", "hidden_terms"))
-    return out.withColumn("safe_text", safe).drop("_safe", "_key", "_hidden_key", "terms")
+    return out.withColumn("safe_text", safe).drop("_safe", "_key", "_hidden_key", "_hidden_terms")
 
 
 def hide_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -81,7 +81,9 @@ def test_terms_that_give_an_entity_away_are_hidden(docs_of):
     mail = "kim@example.org"
     said = [f"Please write to Doctor Zyxwoman at {mail} about case number{i} and other common things" for i in range(4)]
     other = [f"Please write about case number{i} and other common things" for i in range(40)]
-    found = {r.doc_id: r for r in privacy.find_personal_data(docs_of(said + other + [said[0]])).collect()}
+    docs = docs_of(said + other + [said[0]], "1 AS terms")
+    found = {r.doc_id: r for r in privacy.find_personal_data(docs).collect()}
+    assert {r.terms for r in found.values()} == {1}
     for i in (0, 1, 2, 3, 44):
         hidden = {x.found for x in found[i].hidden_terms}
         assert "zyxwoman" in hidden and "please" not in hidden and "common" not in hidden
