@@ -139,6 +139,17 @@ def test_levels_come_back_from_the_filter(spark):
     assert (absent > 0).mean() < 0.03
 
 
+def test_a_filter_too_large_to_send_gives_the_same_scores(docs_of, monkeypatch):
+    draw = random.Random(8)
+    texts = [" ".join(f"w{int(draw.paretovariate(0.6))}" for _ in range(draw.randint(0, 60))) for _ in range(400)] + [None, ""]
+    want = {r.doc_id: r for r in lm_scores(docs_of(texts)).collect()}
+    monkeypatch.setattr(lm_score, "MAX_BYTES", 64)
+    found = lm_scores(docs_of(texts)).collect()
+    assert sorted(r.doc_id for r in found) == sorted(want) and len(found) == len(texts)
+    for r in found:
+        assert r.score == pytest.approx(want[r.doc_id].score, rel=1e-9) and r.base_score == pytest.approx(want[r.doc_id].base_score, rel=1e-9)
+
+
 def test_no_rows_and_no_training_texts(docs_of):
     assert lm_scores(docs_of(["a"]).where("false")).count() == 0
     held = next(i for i in range(100) if is_held_out(i))
