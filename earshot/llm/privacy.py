@@ -20,9 +20,6 @@ BYTE = r"0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone")
 TERM = r"(?<![\p{L}\p{N}])\p{L}[\p{L}\p{N}]{2,}"
 
-CONTEXT_CHARS = 160
-CONTEXT_TERMS = 8
-"""So many terms on either side of an entity are its context."""
 MIN_TEXTS = 3
 """Fewest distinct texts in which a term accompanies an entity, for a judgement."""
 ALPHA = 0.9
@@ -77,79 +74,89 @@ def digest_text(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def _contexts(found: DataFrame) -> DataFrame:
-    """Each term near an entity: ``key``, ``entity``, ``term``, ``start``, ``end``."""
-    each = found.select("key", "text", "base", F.explode("base").alias("e"))
-    begin = F.greatest(F.col("e.start") - CONTEXT_CHARS, F.lit(0))
-    each = each.select(
-        "key",
-        "base",
-        F.xxhash64("e.kind", F.lower("e.found")).alias("entity"),
-        begin.alias("l0"),
-        F.col("e.end").alias("r0"),
-        F.substring("text", begin + 1, F.col("e.start") - begin).alias("left"),
-        F.substring("text", F.col("e.end") + 1, F.lit(CONTEXT_CHARS)).alias("right"),
-    )
-    left = F.filter(spans(F.col("left"), TERM), lambda x: (x["start"] > 0) | (F.col("l0") == 0))
-    right = F.filter(spans(F.col("right"), TERM), lambda x: x["end"] < CONTEXT_CHARS)
-    near = each.select("key", "base", "entity", "l0", "r0", left.alias("left"), right.alias("right"))
-    first = F.greatest(F.size("left") - CONTEXT_TERMS, F.lit(0)) + 1
-
-    def placed(terms: Column, offset: str) -> Column:
-        shift = F.col(offset)
-        return F.transform(terms, lambda x: F.struct(F.lower(x["found"]).alias("term"), (x["start"] + shift).alias("start"), (x["end"] + shift).alias("end")))
-
-    both = F.concat(placed(F.slice("left", first, CONTEXT_TERMS), "l0"), placed(F.slice("right", 1, CONTEXT_TERMS), "r0"))
-    terms = near.select("key", "base", "entity", F.explode(both).alias("t"))
-    clash = F.exists("base", lambda b: (b["start"] < F.col("t.end")) & (b["end"] > F.col("t.start")))
-    return terms.where(~clash).select("key", "entity", "t.term", "t.start", "t.end")
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(f"({TERM})"), F.lit(1)), F.lower))
 
 
 def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """Terms to hide in each text: ``key`` and ``terms``, an array of spans of kind ``term``.
+    """Terms to hide in each text: ``key`` and ``terms``, in lower case.
 
-    Chances are shares of distinct texts. A term discloses an entity if their
+    Chances are shares of distinct texts, and a term accompanies an entity
+    wherever it stands in the same text. A term discloses an entity if their
     pointwise mutual information reaches ``ALPHA`` times the entity's own
-    information: then the term alone tells nearly as much as the entity.
-    ``texts`` has ``key``, ``text`` of all documents, ``found`` those with
-    entities and their ``base`` spans.
+    information: then the term alone tells nearly as much as the entity, so it is
+    hidden in all texts. ``texts`` has ``key``, ``text`` of all documents,
+    ``found`` those with entities and their ``base`` spans.
     """
     spark = texts.sparkSession
-    near = staged(_contexts(found), scratch_path(spark, "contexts"))
+    none = texts.select("key", F.array().cast("array<string>").alias("terms")).limit(0)
     total = texts.select("key").distinct().count()
-    entities = found.select("key", F.explode("base").alias("e")).select("key", F.xxhash64("e.kind", F.lower("e.found")).alias("entity"))
-    entities = entities.distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    together = near.select("entity", "term", "key").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-    together = together.where(F.col("both") >= MIN_TEXTS).join(entities, "entity")
-    # A term can only disclose an entity if it is in few enough texts; it is at least in those of its contexts.
-    most = F.col("both") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - ALPHA)) * (1 + 1e-9)
-    near_texts = near.select("term", "key").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    together = together.join(near_texts, "term").where(F.col("n_near") <= most)
+    held = found.select("key", F.explode("base").alias("e")).select("key", F.xxhash64("e.kind", F.lower("e.found")).alias("entity")).distinct()
+    held = staged(held, scratch_path(spark, "held"))
+    # With fewer texts an entity cannot accompany any term in enough of them.
+    entities, n_entities = measured(held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= MIN_TEXTS))
+    if not n_entities:
+        return none
+    held = held.join(broadcast_within(entities, n_entities), "entity")
+    per_text = held.groupBy("key").agg(F.collect_list(F.struct("entity", "n_entity")).alias("entities"))
+
+    # A term can only disclose an entity if it is in few enough texts; it is at least in those of its entities.
+    def most(both: Column) -> Column:
+        return both * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - ALPHA)) * (1 + 1e-9)
+
+    # Parts of an entity accompany it in any case; they are no terms.
+    outside = F.explode(_terms(replaced(F.col("text"), F.col("base"), blank=True))).alias("term")
+    near = found.select("key", "text", "base").join(per_text, "key").select("key", "entities", outside)
+    near = staged(near, scratch_path(spark, "near"))
+    near_texts = near.groupBy("term").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= MIN_TEXTS)
+    near_texts, n_near = measured(near_texts)
+    pairs = near.join(broadcast_within(near_texts, n_near), "term").select("term", "n_near", F.inline("entities"))
+    pairs = pairs.where(F.col("n_near") <= most(F.col("n_entity")))
+    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("n_near").alias("n_near"), F.first("n_entity").alias("n_entity"))
+    together = together.where((F.col("both") >= MIN_TEXTS) & (F.col("n_near") <= most(F.col("both"))))
     together, n_pairs = measured(together.select("entity", "term", "both", "n_entity"))
     if not n_pairs:
-        return near.select("key", F.array().cast(f"array<{SPAN}>").alias("terms")).limit(0)
-    terms, n_terms = measured(together.select("term").distinct())
-    spoken = texts.select("key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({TERM})"), F.lit(1)))).alias("term"))
-    spoken = spoken.join(broadcast_within(terms, n_terms), "term", "left_semi")
-    spoken = spoken.distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    judged = together.join(spoken, "term")
+        return none
+
+    def said(of: DataFrame, judged: DataFrame) -> DataFrame:
+        terms, n_terms = measured(judged.select("term").distinct())
+        each = of.select("key", F.explode(_terms(F.col("text"))).alias("term"))
+        return each.join(broadcast_within(terms, n_terms), "term", "left_semi").distinct()
+
+    # A term that is in too many texts of a sixteenth is in too many of all; this leaves out only what cannot disclose.
+    some = said(texts.where(F.pmod("key", F.lit(16)) == 0), together).groupBy("term").agg(F.count("*").alias("n_some"))
+    together = together.join(some, "term", "left").where(F.coalesce("n_some", F.lit(0)) <= most(F.col("both"))).drop("n_some")
+    together, _ = measured(together)
+    spoken = staged(said(texts, together), scratch_path(spark, "spoken"))
+    judged = together.join(spoken.groupBy("term").agg(F.count("*").alias("n_term")), "term")
     information = F.lit(math.log2(max(total, 1))) - F.log2("n_entity")
     mutual = F.log2(F.col("both") * total / (F.col("n_term") * F.col("n_entity")))
-    telling = judged.where((information > 0) & (mutual >= ALPHA * information)).select("entity", "term")
+    telling = judged.where((information > 0) & (mutual >= ALPHA * information)).select("term").distinct()
     telling, n_telling = measured(telling)
-    hidden = near.join(broadcast_within(telling, n_telling), ["entity", "term"], "left_semi")
-    span = F.struct(F.lit("term").alias("kind"), "start", "end", F.col("term").alias("found"))
-    return hidden.groupBy("key").agg(F.array_sort(F.collect_set(span)).alias("terms"))
+    hidden = spoken.join(broadcast_within(telling, n_telling), "term", "left_semi")
+    return hidden.groupBy("key").agg(F.collect_set("term").alias("terms"))
+
+
+def term_spans(text: Column, terms: Column, base: Column) -> Column:
+    """Every occurrence of some terms of a text, as spans, but for those that overlap pattern matches."""
+    forms = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(f"({TERM})"), F.lit(1))), lambda x: F.array_contains(terms, F.lower(x)))
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    found = F.filter(spans(text, pattern), lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"])))
+    named = F.transform(
+        found, lambda x: F.struct(F.lit("term").alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.lower(x["found"]).alias("found"))
+    )
+    return F.when(F.size(terms) > 0, named).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
-def replaced(text: Column, found: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; overlapping spans become one."""
+def replaced(text: Column, found: Column, blank: bool = False) -> Column:
+    """The text with each span replaced by its kind in brackets, or by a space; overlapping spans become one."""
     ordered = F.array_sort(F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     empty = F.struct(F.lit(0).alias("done"), F.lit("").alias("out"))
 
     def step(state: Column, x: Column) -> Column:
         gap = F.substring(text, state["done"] + 1, x["start"] - state["done"])
-        joined = F.concat(state["out"], gap, F.lit("["), F.upper(x["kind"]), F.lit("]"))
+        joined = F.concat(state["out"], gap, F.lit(" ") if blank else F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
         return F.struct(
             F.greatest(state["done"], x["end"]).alias("done"),
             F.when(x["start"] >= state["done"], joined).otherwise(state["out"]).alias("out"),
@@ -164,8 +171,8 @@ def replaced(text: Column, found: Column) -> Column:
 def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``base`` (pattern spans), ``hidden_terms`` (spans of disclosing terms) and ``safe_text``.
 
-    Corpus statistics are over distinct texts. Terms are hidden in texts that
-    hold the entity they disclose, near it. A null or empty text has no spans and
+    Corpus statistics are over distinct texts. Every occurrence of a
+    term that discloses an entity is hidden, also in texts without the entity. A null or empty text has no spans and
     stays empty; repeated rows get equal results; an empty table gives no rows.
     Columns of ``docs`` with the names above are replaced. The statistics are
     computed while the plan is built.
@@ -181,8 +188,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = docs.withColumns({"_safe": text, "_key": F.xxhash64(text)})
     out = out.withColumn("base", base_spans(F.col("_safe")))
     out = out.join(broadcast_within(hidden, n_hidden, 100_000), out["_key"] == hidden["_hidden_key"], "left")
-    terms = F.coalesce("_hidden_terms", F.array().cast(f"array<{SPAN}>"))
-    out = out.withColumn("hidden_terms", terms)
+    out = out.withColumn("hidden_terms", term_spans(F.col("_safe"), F.coalesce("_hidden_terms", F.array().cast("array<string>")), F.col("base")))
     safe = replaced(F.col("_safe"), F.concat("base", "hidden_terms"))
     return out.withColumn("safe_text", safe).drop("_safe", "_key", "_hidden_key", "_hidden_terms")
 

@@ -21,18 +21,19 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 
 
-def spans(text: Column, pattern: str, groups: dict[str, int] | None = None) -> Column:
+def spans(text: Column, pattern: str | Column, groups: dict[str, int] | None = None) -> Column:
     """Leftmost non-overlapping matches of a pattern, as structs ``start``, ``end``, ``found``.
 
     Positions are code points, the end is exclusive. ``groups`` adds fields that
     hold the text of groups of the pattern. A position is the length of all that
     lies before it: the gaps that ``split`` leaves and the earlier matches.
     """
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    grouped = F.concat(F.lit("("), pattern, F.lit(")")) if isinstance(pattern, Column) else F.lit(f"({pattern})")
+    found = F.regexp_extract_all(text, grouped, F.lit(1))
     gaps = F.split(text, pattern, -1)
     columns = {"found": found, "gap": F.slice(gaps, 1, F.size(found))}
     for name, number in (groups or {}).items():
-        columns[name] = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(number + 1))
+        columns[name] = F.regexp_extract_all(text, grouped, F.lit(number + 1))
     pairs = F.arrays_zip(*[c.alias(k) for k, c in columns.items()])
     empty = F.array().cast("array<struct<start:int,end:int,found:string" + "".join(f",{g}:string" for g in groups or {}) + ">>")
 

@@ -91,6 +91,20 @@ def test_terms_that_give_an_entity_away_are_hidden(docs_of):
     assert all(found[i].safe_text == other[i - 4] for i in range(4, 44))
 
 
+def test_terms_far_from_the_entity_and_in_texts_without_it_are_hidden(docs_of):
+    gap = "and other common things were said at length in between " * 6
+    said = [f"Doctor Zyxwoman wrote case{i} {gap} reply to kim@example.org and greet ZYXWOMAN" for i in range(30)]
+    other = [f"Please write about case number{i} {gap}" for i in range(3000)]
+    alone = "Only Zyxwoman came."
+    parts = "The kim of an address is no term."
+    found = {r.doc_id: r for r in privacy.find_personal_data(docs_of(said + other + [alone, parts])).collect()}
+    for i in range(30):
+        assert sum(x.found == "zyxwoman" for x in found[i].hidden_terms) == 2
+        assert "zyxwoman" not in found[i].safe_text.lower() and "common" in found[i].safe_text
+    assert found[3030].safe_text == "Only [TERM] came." and found[30].safe_text == other[0]
+    assert found[3031].safe_text == parts
+
+
 def test_replacement_of_overlapping_spans(docs_of):
     [row] = privacy.find_personal_data(docs_of(["x +1.2.3.4.5.6.7.8 y"])).collect()
     assert [s.kind for s in row.base] == ["ip", "ip", "phone"]
