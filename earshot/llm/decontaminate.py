@@ -15,7 +15,7 @@ from earshot.llm.words import ngram_hashes, text_words
 SEED = 3
 """Words of a seed."""
 MIN_ITEM = 5
-"""Fewest words of an item that is searched for; shorter ones occur by chance."""
+"""Fewest words of an item that is searched for in texts; shorter ones occur by chance and are compared with whole texts."""
 RARE = 1e-6
 """Chance of an n-gram, by the frequencies of its words, up to which it is rare."""
 LEAST_SEEDS = 8
@@ -24,6 +24,8 @@ SLACK = 0.3
 """Room for insertions around a seed's diagonal, as a share of the item."""
 MIN_SCORE = 0.5
 """Alignment score, as a share of a full match, from which a passage is a copy."""
+LEAST_SCORE = 8
+"""Least score of a copy; items of up to so many words must match in full."""
 BLOCK_WORDS = 500_000
 """Words of test items that are sent to all tasks at once; more items make more passes."""
 FILTER_BITS = 20
@@ -90,10 +92,32 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def least_score(n: int) -> float:
+    """The score from which a passage is a copy of an item of ``n`` words."""
+    return max(MIN_SCORE * n, min(n, LEAST_SCORE))
+
+
+def copies(item: np.ndarray, passage: np.ndarray) -> list[tuple[int, int, int]]:
+    """The best copy of an item in a passage, and those on both sides of it."""
+    found, parts = [], [(0, len(passage))]
+    while parts:
+        low, high = parts.pop()
+        if high - low < least_score(len(item)):
+            continue
+        score, first, last = align(item, passage[low:high])
+        if score >= least_score(len(item)):
+            found.append((score, low + first, low + last))
+            parts += [(low, low + first), (low + last, high)]
+    return sorted(found, key=lambda x: x[1])
+
+
 def seed_table(items: list[tuple[int, np.ndarray]], rank: dict[int, float]) -> tuple:
     """A block of test items, and its seeds sorted by hash: hash, item, place in the item."""
-    hashes, owners, places = [], [], []
-    for k, (_, words) in enumerate(items):
+    hashes, owners, places, short = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], {}
+    for k, (item_id, words) in enumerate(items):
+        if len(words) < MIN_ITEM:
+            short.setdefault(words.tobytes(), []).append(item_id)
+            continue
         grams = ngram_hashes(words, SEED)
         chance = np.array([rank.get(int(w), 0.0) for w in words.view(np.int64)])
         chance = np.prod([chance[i : i + len(grams)] for i in range(SEED)], axis=0)
@@ -104,7 +128,7 @@ def seed_table(items: list[tuple[int, np.ndarray]], rank: dict[int, float]) -> t
         places.append(seeds)
     joined = np.concatenate(hashes)
     order = np.argsort(joined, kind="stable")
-    return items, joined[order], np.concatenate(owners)[order], np.concatenate(places)[order]
+    return items, joined[order], np.concatenate(owners)[order], np.concatenate(places)[order], short
 
 
 def seed_filter(seeds: np.ndarray) -> np.ndarray:
@@ -115,7 +139,9 @@ def seed_filter(seeds: np.ndarray) -> np.ndarray:
 
 def matches(table: tuple, maybe: np.ndarray, words: np.ndarray) -> list[dict]:
     """The items of a seed table that a text holds."""
-    items, seeds, owner_of, place_of = table
+    items, seeds, owner_of, place_of, short = table
+    if len(words) < MIN_ITEM:
+        return [{"item_id": k, "score": 1.0, "start": 0, "end": len(words)} for k in short.get(words.tobytes(), ())]
     grams = ngram_hashes(words, SEED)
     at = np.flatnonzero(maybe[grams & np.uint64((1 << FILTER_BITS) - 1)])
     if not len(at):
@@ -134,8 +160,7 @@ def matches(table: tuple, maybe: np.ndarray, words: np.ndarray) -> list[dict]:
         cuts = np.flatnonzero(np.diff(line) > len(item) + 2 * slack) + 1
         for part in np.split(line, cuts):
             begin = max(0, int(part[0]) - slack)
-            score, first, last = align(item, words[begin : int(part[-1]) + len(item) + slack])
-            if score >= MIN_SCORE * len(item):
+            for score, first, last in copies(item, words[begin : int(part[-1]) + len(item) + slack]):
                 found.append({"item_id": item_id, "score": score / len(item), "start": begin + first, "end": begin + last})
     return found
 
@@ -165,7 +190,7 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[
     block, size = [], 0
     for item_id, text in benchmark.select(F.col(item_col).cast("bigint"), text_col).orderBy(item_col, text_col).toLocalIterator():
         for _, words, _ in text_words(pa.array([text], pa.string())):
-            if len(words) < MIN_ITEM:
+            if not len(words):
                 continue
             if block and size + len(words) > BLOCK_WORDS:
                 yield block
@@ -185,12 +210,12 @@ def benchmark_matches(
     documents tell which of their word triples are rare; a rare triple of an item in a text
     (or one of the rarest eight of the item) seeds an alignment of the item with
     the passage around it, with room for insertions. A passage is a match if the
-    Smith-Waterman score reaches half of a full match, so edited copies count. A
+    Smith-Waterman score reaches half of a full match and eight words, or all words of a shorter item, so edited copies of longer ones count. A
     copied passage makes its own triples frequent, so rarity is judged by the single words.
 
     Items go to the tasks in blocks of bounded size, each in one pass over
-    ``docs`` without a shuffle. Items of fewer than five words, null items and
-    null or empty texts match nothing; repeated rows get equal results; a column
+    ``docs`` without a shuffle. Items of fewer than five words match texts of
+    just these words; null items and null or empty texts match nothing; repeated rows get equal results; a column
     ``matches`` of ``docs`` is replaced. The word counts are taken while the plan is built.
     """
     spark = docs.sparkSession

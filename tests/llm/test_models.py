@@ -66,6 +66,16 @@ def test_copies_and_edited_copies_are_found(spark, docs_of):
     assert {r.doc_id for r in kept.collect()} == set(range(305)) - {i for i, _ in leaked} and kept.columns == docs.drop("matches").columns
 
 
+def test_short_items_match_in_full_and_each_copy_counts(spark, docs_of):
+    long = " ".join(f"z{i}" for i in range(20))
+    items = ["who is the president of the united states", "name one sea", "a b c d e", long]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    texts = ["many of the united states have laws", "Who is the president of the United States ?", "Name one SEA", "please name one sea now", "x a b c y"]
+    docs = docs_of([*texts, f"{long} x {long}"])
+    found = decontaminate.leaked_pairs(decontaminate.benchmark_matches(docs, bench)).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.end) for r in found) == [(1, 0, 0, 8), (2, 1, 0, 3), (5, 3, 0, 20), (5, 3, 21, 41)]
+
+
 def test_blocks_of_items_give_the_same(spark, docs_of, monkeypatch):
     items = [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(9)]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
