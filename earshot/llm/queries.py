@@ -11,6 +11,7 @@ import corpus_pipeline
 from earshot.llm.clean_lines import BOILERPLATE, clean_lines
 from earshot.llm.decontaminate import benchmark_matches, leaked_pairs
 from earshot.llm.lm_score import lm_scores
+from earshot.llm.merkle import lowered_text, merkle_manifest
 from earshot.llm.mixing import mix_sources
 from earshot.llm.near_dups import near_duplicates
 from earshot.llm.page_text import extract_text
@@ -76,6 +77,10 @@ def op10_linked_credentials(spark, d):
     return secrets_digest(find_secrets(table(spark, d, "documents")))
 
 
+def op11_merkle(spark, d):
+    return merkle_manifest(table(spark, d, "documents"), found={"text": lowered_text()})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_transactions": op1_transactions,
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_edit_aware": op8_edit_aware,
         "op9_smith_waterman": op9_smith_waterman,
         "op10_linked_credentials": op10_linked_credentials,
+        "op11_merkle": op11_merkle,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -147,5 +153,56 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM counted"""
 
 
+# CRC-32 of a short ASCII text, bit by bit.
+CRC32 = (
+    "xor(list_reduce([ascii(x) FOR x IN string_split({}, '')], lambda c, x: list_reduce(range(8), lambda r, k: "
+    "CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END, xor(c, x::BIGINT)), "
+    "4294967295::BIGINT), 4294967295::BIGINT)"
+)
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+OP11 = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf("text")} AS leaf,
+           CASE WHEN {CRC32.format("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf(LOWER)} ELSE {_leaf("text")} END AS now
+    FROM documents
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+nodes AS (
+    SELECT g, 0 AS l, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM placed
+    UNION ALL
+    SELECT g, l + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM nodes WHERE n > 1 GROUP BY g, l, i // 8
+),
+tops AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS i FROM nodes WHERE n = 1),
+upper AS (
+    SELECT 0 AS l, i, subroot AS h, count(*) OVER () AS n FROM tops
+    UNION ALL
+    SELECT l + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM upper WHERE n > 1 GROUP BY l, i // 8
+),
+runs AS (
+    SELECT g, l, i, string_agg(h, '') OVER (PARTITION BY g, l, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS a,
+           string_agg(h, '') OVER (PARTITION BY g, l, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS b
+    FROM (SELECT g, l, i, h FROM nodes WHERE n > 1 UNION ALL SELECT NULL, l, i, h FROM upper WHERE n > 1)
+),
+steps AS (SELECT g, l, i, coalesce(a, '') || '|' || coalesce(b, '') AS s FROM runs),
+paths AS (
+    SELECT doc_id, p.g, p.i, any_value(leaf) AS leaf, any_value(now) AS now, any_value(subroot) AS subroot,
+           coalesce(list(s ORDER BY steps.g IS NULL, l) FILTER (s IS NOT NULL), []) AS path
+    FROM placed AS p JOIN tops AS t USING (g)
+    LEFT JOIN steps ON (steps.g = p.g AND steps.i = p.i >> (3 * l)) OR (steps.g IS NULL AND steps.i = t.i >> (3 * l))
+    GROUP BY doc_id, p.g, p.i
+)
+SELECT doc_id, CASE WHEN g <> '' THEN substr(g, 2) END AS lang, leaf, subroot, root,
+       sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256,
+       list_reduce(path, lambda n, s: sha256(split_part(s, '|', 1) || n || split_part(s, '|', 2)), now) AS folded_root,
+       folded_root = root AS verified
+FROM paths, (SELECT h AS root FROM upper WHERE n = 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_super_minhash": OP2, "op4_line_first": OP4.replace("{BOILERPLATE}", BOILERPLATE)}
+    return {"op2_super_minhash": OP2, "op4_line_first": OP4.replace("{BOILERPLATE}", BOILERPLATE), "op11_merkle": OP11}
