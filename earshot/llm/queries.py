@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from earshot.llm.clean_lines import BOILERPLATE, clean_lines
 from earshot.llm.decontaminate import benchmark_matches, leaked_pairs
+from earshot.llm.licenses import BASE, WINDOW, keywords, scan_licenses, whole_words
 from earshot.llm.lm_score import lm_scores
 from earshot.llm.merkle import lowered_text, merkle_manifest
 from earshot.llm.mixing import mix_sources
@@ -81,6 +82,11 @@ def op11_merkle(spark, d):
     return merkle_manifest(table(spark, d, "documents"), found={"text": lowered_text()})
 
 
+def op12_license_rules(spark, d):
+    scanned = scan_licenses(table(spark, d, "documents"))
+    return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_transactions": op1_transactions,
@@ -94,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_smith_waterman": op9_smith_waterman,
         "op10_linked_credentials": op10_linked_credentials,
         "op11_merkle": op11_merkle,
+        "op12_license_rules": op12_license_rules,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -204,5 +211,41 @@ SELECT doc_id, CASE WHEN g <> '' THEN substr(g, 2) END AS lang, leaf, subroot, r
 FROM paths, (SELECT h AS root FROM upper WHERE n = 1)"""
 
 
+def _op12() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    rows = {(w, r.rank, r.label, r.weight, whole_words(r.pattern)) for w, found in keywords().items() for r in found}
+    table = ", ".join(f"({quoted(w)}, {k}, {quoted(label)}, {weight}::DOUBLE, {quoted(p)})" for w, k, label, weight, p in sorted(rows))
+    phrases = " ".join(f"WHEN regexp_matches(x, '^{p}( |$)') THEN '{label}'" for p, label in BASE.items())
+    return f"""
+WITH rules(keyword, rank, label, weight, pattern) AS (VALUES {table}),
+cut AS (
+    SELECT doc_id, regexp_extract_all(coalesce({LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+places AS (SELECT doc_id, i, w[i + 1] AS k, array_to_string(w[i + 1:i + {WINDOW}], ' ') AS x FROM cut, unnest(range(len(w))) AS u(i)),
+base AS (SELECT doc_id, i, CASE {phrases} END AS label FROM places WHERE k IN ({", ".join(quoted(p.split()[0]) for p in BASE)})),
+found AS (
+    SELECT doc_id, i AS a, i + len(string_split(regexp_extract(x, pattern, 1), ' ')) AS b, rank, label, weight
+    FROM places JOIN rules ON k = keyword AND regexp_matches(x, pattern)
+    QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY rank) = 1
+),
+kept AS (
+    SELECT doc_id, label, weight FROM found AS d WHERE NOT EXISTS (
+        FROM found AS o WHERE o.doc_id = d.doc_id AND ((o.a < d.a AND o.b >= d.b AND o.rank <= d.rank) OR (o.a > d.a AND o.b <= d.b AND o.rank < d.rank))
+    )
+),
+named AS (SELECT doc_id, label FROM base WHERE label IS NOT NULL UNION SELECT doc_id, label FROM kept),
+per_base AS (
+    SELECT doc_id, count(*) AS n, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM base WHERE label IS NOT NULL GROUP BY doc_id
+),
+per_doc AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM named GROUP BY doc_id),
+best AS (SELECT doc_id, max(weight) AS score FROM kept GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word, coalesce(per_base.labels, '') AS base_labels,
+       coalesce(per_doc.labels, '') AS labels, coalesce(score, 0) AS score
+FROM cut LEFT JOIN per_base USING (doc_id) LEFT JOIN per_doc USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_super_minhash": OP2, "op4_line_first": OP4.replace("{BOILERPLATE}", BOILERPLATE), "op11_merkle": OP11}
+    return {"op2_super_minhash": OP2, "op4_line_first": OP4.replace("{BOILERPLATE}", BOILERPLATE), "op11_merkle": OP11, "op12_license_rules": _op12()}
