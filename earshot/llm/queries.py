@@ -18,6 +18,7 @@ from earshot.llm.near_dups import near_duplicates
 from earshot.llm.page_text import extract_text
 from earshot.llm.privacy import find_personal_data, personal_data_digest
 from earshot.llm.secrets import find_secrets, secrets_digest
+from earshot.llm.spelling import spelling_variants
 from earshot.llm.token_counts import count_tokens, recount_tokens, sample_edits
 from earshot.llm.warc import captured_pages, captures, read_warc, write_warc
 from earshot.operators.sizing import scratch_path
@@ -87,6 +88,10 @@ def op12_license_rules(spark, d):
     return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op13_spelling_variants(spark, d):
+    return spelling_variants(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_transactions": op1_transactions,
@@ -101,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_linked_credentials": op10_linked_credentials,
         "op11_merkle": op11_merkle,
         "op12_license_rules": op12_license_rules,
+        "op13_spelling_variants": op13_spelling_variants,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -160,11 +166,11 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM counted"""
 
 
-# CRC-32 of a short ASCII text, bit by bit.
+# CRC-32 of the UTF-8 bytes of a short text, bit by bit.
 CRC32 = (
-    "xor(list_reduce([ascii(x) FOR x IN string_split({}, '')], lambda c, x: list_reduce(range(8), lambda r, k: "
-    "CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END, xor(c, x::BIGINT)), "
-    "4294967295::BIGINT), 4294967295::BIGINT)"
+    "xor(list_reduce([('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT FOR i IN range(strlen({0}))], "
+    "lambda c, x: list_reduce(range(8), lambda r, k: "
+    "CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END, xor(c, x)), 4294967295::BIGINT), 4294967295::BIGINT)"
 )
 
 
@@ -247,5 +253,35 @@ SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first_word, last_wor
 FROM cut LEFT JOIN per_base USING (doc_id) LEFT JOIN per_doc USING (doc_id) LEFT JOIN best USING (doc_id)"""
 
 
+OP13 = f"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, r, count(*) AS k FROM (
+        SELECT doc_id, unnest(regexp_extract_all(coalesce({LOWER}, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS r FROM documents
+    ) WHERE length(r) >= 6 GROUP BY doc_id, r
+),
+hashed AS (SELECT r, k, {CRC32.format("(doc_id || ':' || r)")} AS h FROM runs),
+words AS (
+    SELECT w, sum(k)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS w, k FROM hashed
+    ) WHERE length(w) >= 6 GROUP BY w HAVING sum(k) >= 5
+),
+cuts AS (SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS d FROM words, unnest(range(1, length(w) + 1)) AS u(i)),
+shorter AS (SELECT DISTINCT a.w AS a, a.n AS an, b.w AS b, b.n AS bn FROM cuts AS a JOIN words AS b ON a.d = b.w),
+near AS (
+    SELECT a.w AS a, b.w AS b, b.n AS n FROM cuts AS a JOIN cuts AS b USING (i, d) WHERE a.w <> b.w
+    UNION ALL SELECT a, b, bn FROM shorter UNION ALL SELECT b, a, an FROM shorter
+),
+best AS (SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, encode(b)) AS b, max(n) AS bn FROM near GROUP BY a),
+forms AS (
+    SELECT w, n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 5 * n THEN b END AS form, CASE WHEN bn >= 5 * n THEN bn END AS form_n
+    FROM words LEFT JOIN best ON a = w
+),
+steps AS (
+    SELECT w, coalesce(form, w) AS root, form IS NOT NULL AS more FROM forms
+    UNION ALL SELECT steps.w, coalesce(form, root), form IS NOT NULL FROM steps JOIN forms ON forms.w = root WHERE more
+)
+SELECT w AS word, form, root, n, n_near, form_n FROM forms JOIN (SELECT w, root FROM steps WHERE NOT more) USING (w)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_super_minhash": OP2, "op4_line_first": OP4.replace("{BOILERPLATE}", BOILERPLATE), "op11_merkle": OP11, "op12_license_rules": _op12()}
+    return {"op2_super_minhash": OP2, "op4_line_first": OP4.replace("{BOILERPLATE}", BOILERPLATE), "op11_merkle": OP11, "op12_license_rules": _op12(), "op13_spelling_variants": OP13}
