@@ -7,10 +7,10 @@ the raw events, ``customer`` are the users.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
 from datetime import date
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -32,12 +32,14 @@ from earshot.plans import analyses as A
 from earshot.plans.etl import rejected_table, run_etl, transform, valid_table
 from earshot.plans.sql import analysis, run_sql
 from earshot.plans.star import calendar_columns
-from earshot.sources.lake import dedupe_events, read_lake, register_lake, write_partitioned
+from earshot.sources.lake import compact, dedupe_events, read_lake, register_lake, write_partitioned
 from earshot.sources.listens import ORDINAL, extract, flatten
 from earshot.sources.tables import list_tables, star_tables
 from earshot.streaming import enrich as N
 from earshot.streaming import jobs as J
 
+logger = logging.getLogger(__name__)
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 DAY = date(2024, 1, 5)
 
@@ -389,6 +391,17 @@ def lake_table(spark, d):
     return spark.table(name).where("month = 1").select("event_uuid", "day", "hour")
 
 
+def lake_compact(spark, d):
+    """Two runs of compaction over parts of the stream that overlap, every tenth event without an id."""
+    root, name = scratch_path(spark, "compacted"), f"compacted_{uuid.uuid4().hex}"
+    events = table(spark, d, "events")
+    for low in (0, 1):
+        part = events.where((F.col("event_id") % 3).between(low, low + 1))
+        write_partitioned(N.enrich_events(nameless_events(part.unionByName(part))), f"{root}/lake", "overwrite")
+        compact(spark, f"{root}/lake", f"{root}/table", name)
+    return spark.table(name).select("event_uuid", "event_name", "hour")
+
+
 def _event_stream(spark, d):
     """The event table as a file stream of JSON lines."""
     schema = table(spark, d, "events").schema
@@ -561,11 +574,12 @@ def _sql(name: str, **args):
 
 
 def _llm():
-    """The query modules of the training-data operators, if they are there."""
-    if find_spec("earshot.llm") is None or find_spec("corpus_pipeline") is None:
+    """The query modules of the training-data operators, if they can be imported."""
+    try:
+        from earshot.llm import queries as llm_queries
+    except ImportError as error:
+        logger.warning("The training-data operators are left out: %s", error)
         return None
-    from earshot.llm import queries as llm_queries
-
     return llm_queries
 
 
@@ -625,6 +639,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_envelope": stream_envelope,
         "stream_processor": stream_processor,
         "lake_table": lake_table,
+        "lake_compact": lake_compact,
         "scan_json_lines": scan_json_lines,
         "etl_tables": etl_tables,
         "etl_fact": etl_fact,
@@ -856,6 +871,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CAST(event_id AS VARCHAR) AS event_uuid, CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour "
             "FROM events WHERE month(ts) = 1"
         ),
+        "lake_compact": (
+            f"SELECT event_uuid, event_name, hour FROM ({_lake_sql()}) WHERE CAST(event_uuid AS BIGINT) % 10 <> 0 "
+            f"UNION ALL SELECT NULL, event_name, hour FROM (SELECT DISTINCT event_name, created_us, hour FROM ({_lake_sql()}) "
+            "WHERE CAST(event_uuid AS BIGINT) % 10 = 0)"
+        ),
         "stream_envelope": _lake_sql(),
         "stream_processor": (
             f"SELECT CAST(event_id AS VARCHAR) AS event_uuid, {_NAME} AS event_name FROM events WHERE event_id % 3 = 0"

@@ -70,6 +70,12 @@ def discard(spark: SparkSession, path: str) -> None:
         logger.warning("Could not delete '%s'", path, exc_info=True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at a path, by Spark's own file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
     """Compute a summary once; return it with its number of rows."""
     shared_dir(df.sparkSession)
@@ -86,6 +92,11 @@ def variable_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*wide))))).first()[0] or 0
 
 
+def fits_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether the rows and bytes of a measured table allow sending it to every executor."""
+    return rows <= limit and variable_bytes(df) <= BROADCAST_BYTES
+
+
 def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a measured table for broadcasting if its rows and bytes allow; else Spark shuffles it."""
-    return F.broadcast(df) if rows <= limit and variable_bytes(df) <= BROADCAST_BYTES else df
+    return F.broadcast(df) if fits_broadcast(df, rows, limit) else df

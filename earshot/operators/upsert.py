@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from earshot.operators.dedupe import keep_first
-from earshot.operators.sizing import BROADCAST_ROWS, shared_dir
+from earshot.operators.sizing import fits_broadcast, shared_dir
 
 
 def new_rows(
@@ -26,15 +26,15 @@ def new_rows(
     With ``ordinal``, which differs from row to row, rows count in its order, as
     if they were stored one by one; without it the batch must be unique already.
     Rows that meet stored values are out before they can compete with others.
-    With several unique columns this runs jobs while the plan is built. A batch of known size within the broadcast limit is
-    sent to the target, which is then filtered where it lies instead of being
+    With several unique columns this runs jobs while the plan is built. Keys of a batch of known size whose rows and bytes
+    are within the broadcast limits are sent to the target, which is then filtered where it lies instead of being
     shuffled; other batches meet the target in a shuffled anti-join.
     """
     columns = batch.columns
     for column in unique:
         taken = target.select(column)
-        if batch_rows is not None and batch_rows <= BROADCAST_ROWS:
-            taken = taken.join(F.broadcast(batch.select(column)), column, "left_semi")
+        if batch_rows is not None and fits_broadcast(keys := batch.select(column), batch_rows):
+            taken = taken.join(F.broadcast(keys), column, "left_semi")
         batch = batch.join(taken, column, "left_anti")
     if ordinal is not None:
         batch = keep_first(batch, unique[0], [ordinal]) if len(unique) == 1 else _first_come(batch, unique, ordinal)

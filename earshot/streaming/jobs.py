@@ -62,12 +62,12 @@ def dedupe_stream(enriched: DataFrame, window: str = REPLAY_WINDOW) -> DataFrame
 
     The watermark is on the time of arrival, which never runs backwards: it bounds
     the state, and no event is late, however old it is. Later repeats pass and
-    are removed when the lake is compacted. Events without an id all pass.
+    are removed when the lake is compacted. Events without an id can be no
+    repeats; they go around the state, at the price of reading the source twice.
     """
-    alone = F.when(F.col("event_uuid").isNull(), F.uuid())
-    arrived = enriched.withColumns({"_arrived": F.current_timestamp(), "_alone": alone})
-    single = arrived.withWatermark("_arrived", window).dropDuplicatesWithinWatermark(["event_uuid", "_alone"])
-    return single.drop("_arrived", "_alone")
+    named = enriched.where(F.col("event_uuid").isNotNull()).withColumn("_arrived", F.current_timestamp())
+    single = named.withWatermark("_arrived", window).dropDuplicatesWithinWatermark(["event_uuid"])
+    return single.drop("_arrived").unionByName(enriched.where(F.col("event_uuid").isNull()))
 
 
 def with_slot(events: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from fixtures import rows
+from pyspark.sql import functions as F
 
 from earshot import schemas as S
 from earshot.sources.lake import compact, read_lake, register_lake, write_partitioned
@@ -84,6 +85,7 @@ def test_compaction_and_catalog(spark, tmp_path):
     drain(spark, source, root)
     assert compact(spark, f"{root}/data", target, table) == 1
     assert sorted(r[0] or "" for r in rows(spark.table(table))) == ["", "", "id-0", "id-1", "id-2"]
+    assert spark.read.parquet(str(tmp_path / "compacted-ids" / "records")).agg({"n": "sum"}).first()[0] == 5
     assert len(spark.sql(f"SHOW PARTITIONS {table}").collect()) == 2
     assert spark.table(table).schema.names == [*S.LAKE_EVENT.names, *S.PARTITION_KEYS]
     # one file per hour and compaction: 17 and 18 h first, then 18 h twice
@@ -155,3 +157,87 @@ def test_own_processor(spark, tmp_path):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         read_events(spark, "kafka", subscribe="events")
+
+
+def test_events_without_id_leave_no_state(spark, tmp_path):
+    source, root = tmp_path / "in", tmp_path / "out"
+    nameless = {k: v for k, v in event(3).items() if k != "event_uuid"}
+    put(source, "1.json", [event(0), event(0), *[nameless] * 40])
+    for query in run_stream(read_events(spark, "text", str(source)), str(root), once=True, dedupe=True):
+        query.awaitTermination()
+        state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        assert not state or max(state) == 1
+    assert [r[0] for r in lake(spark, root)].count(None) == 40
+
+
+@pytest.fixture
+def hours(spark, tmp_path):
+    """A table filled by three runs of compaction, an hour each, and what a further run reads of it."""
+    spark.sql("DROP TABLE IF EXISTS filtered_events")
+    source, target = str(tmp_path / "lake"), str(tmp_path / "table")
+
+    def run(events):
+        texts = spark.createDataFrame([(json.dumps(e),) for e in events], "value string")
+        write_partitioned(enrich_events(texts), source, "overwrite")
+        return compact(spark, source, target, "filtered_events")
+
+    yield run, target
+    spark.sql("DROP TABLE filtered_events")
+
+
+def test_compaction_reads_the_ids_of_touched_hours_only(spark, hours, monkeypatch):
+    from earshot.sources import lake as L
+
+    run, target = hours
+    read = []
+    ids = L.stored_ids
+    monkeypatch.setattr(L, "stored_ids", lambda spark, table, hours: read.append(sorted(h % 100 for h in hours)) or ids(spark, table, hours))
+    at = lambda i, hour: event(i) | {"created_at": 1712511721 + 3600 * hour}
+    assert run([at(i, 0) for i in range(50)]) == 50
+    assert run([at(100 + i, 1) for i in range(50)]) == 50
+    assert run([at(200 + i, 2) for i in range(50)] + [at(7, 2), at(107, 5)]) == 50
+    assert run([at(300, 3), at(120, 3)]) == 1
+    assert read == [[], [], [17, 18], [18]]
+    plan = L.stored_ids(spark, "filtered_events", [2024040718])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024040718" in plan.split("PartitionFilters")[1]
+    assert spark.table("filtered_events").count() == 151
+
+
+def test_rows_that_the_filters_do_not_know_are_read(spark, hours):
+    run, target = hours
+    assert run([event(0), event(1)]) == 2
+    other = spark.table("filtered_events").where("event_uuid = 'id-0'").withColumn("event_uuid", F.lit("id-77"))
+    other.select(*spark.table("filtered_events").columns).write.insertInto("filtered_events")
+    assert run([event(77), event(0), event(5)]) == 1
+    assert run([event(77) | {"created_at": 1712511721 + 90_000}]) == 0
+
+
+def test_a_cut_run_leaves_the_filters_safe(spark, hours, monkeypatch):
+    from earshot.sources import lake as L
+
+    run, target = hours
+    assert run([event(0)]) == 1
+    append = L.append_by_name
+
+    def cut(*args):
+        append(*args)
+        raise OSError("cut")
+
+    monkeypatch.setattr(L, "append_by_name", cut)
+    with pytest.raises(OSError):
+        run([event(0), event(1)])
+    monkeypatch.setattr(L, "append_by_name", append)
+    assert run([event(0), event(1), event(2)]) == 1
+    assert sorted(r[0] for r in rows(spark.table("filtered_events"))) == ["id-0", "id-1", "id-2"]
+
+
+def test_only_the_partitions_of_a_run_are_added(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS stepwise_events")
+    path = str(tmp_path / "lake")
+    enriched = [enrich_events(spark.createDataFrame([(json.dumps(event(i)),) for i in n], "value string")) for n in (range(4), range(2, 8))]
+    for df, added in zip(enriched, (3, 2), strict=True):
+        write_partitioned(df, path)
+        assert register_lake(spark, "stepwise_events", path, df) == added
+    assert register_lake(spark, "stepwise_events", path, enriched[0]) == 0
+    assert spark.table("stepwise_events").count() == 10
+    spark.sql("DROP TABLE stepwise_events")
