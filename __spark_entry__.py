@@ -10,7 +10,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -30,10 +30,12 @@ from earshot.operators.upsert import new_rows
 from earshot.operators.validation import Rule, RuleSet, not_blank, not_null, rejected_rows, valid_rows
 from earshot.plans import analyses as A
 from earshot.plans.etl import rejected_table, run_etl, transform, valid_table
+from earshot.plans.publish import publish, published_star
 from earshot.plans.sql import analysis, run_sql
 from earshot.plans.star import calendar_columns
 from earshot.sources.lake import compact, dedupe_events, read_lake, register_lake, write_partitioned
 from earshot.sources.listens import ORDINAL, extract, flatten
+from earshot.sources.packing import pack, packed_lake
 from earshot.sources.tables import list_tables, star_tables
 from earshot.streaming import enrich as N
 from earshot.streaming import jobs as J
@@ -475,6 +477,26 @@ def _loaded(spark, d) -> str:
     return database
 
 
+def etl_published(spark, d):
+    """Rows of each table of the second version: the log in two parts that overlap, published one after the other."""
+    root, raw = scratch_path(spark, "published"), raw_listens(spark, d)
+    for name, part in (("first", raw.where(F.col(ORDINAL) % 3 < 2)), ("second", raw.where(F.col(ORDINAL) % 3 > 0))):
+        part.drop(ORDINAL).write.json(f"{root}-log/{name}.json")
+        run_etl(spark, f"{root}-log/{name}.json", root, store=publish).discard()
+    tables = published_star(spark, root)
+    return union_by_name([df.agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name, df in tables.items()])
+
+
+def lake_packed(spark, d):
+    """The files of a stream of several triggers, packed; the newest hours are open and stay as they are."""
+    path, root = scratch_path(spark, "events"), scratch_path(spark, "stream")
+    json_events(table(spark, d, "events")).repartition(3).select("value").write.text(path)
+    for query in J.run_stream(J.read_events(spark, "text", path, maxFilesPerTrigger="1"), root, once=True):
+        query.awaitTermination()
+    pack(spark, f"{root}/data", f"{root}/packed", closed_before=datetime(2024, 1, 20))
+    return packed_lake(spark, f"{root}/packed", f"{root}/data").select("event_uuid", "day", "hour")
+
+
 def etl_tables(spark, d):
     """Rows of each table that the database lists."""
     database = _loaded(spark, d)
@@ -642,6 +664,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_compact": lake_compact,
         "scan_json_lines": scan_json_lines,
         "etl_tables": etl_tables,
+        "etl_published": etl_published,
+        "lake_packed": lake_packed,
         "etl_fact": etl_fact,
         "etl_users_on_day": etl_users_on_day,
         "etl_top_days": etl_top_days,
@@ -876,6 +900,9 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT NULL, event_name, hour FROM (SELECT DISTINCT event_name, created_us, hour FROM ({_lake_sql()}) "
             "WHERE CAST(event_uuid AS BIGINT) % 10 = 0)"
         ),
+        "lake_packed": (
+            "SELECT CAST(event_id AS VARCHAR) AS event_uuid, CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour FROM events"
+        ),
         "stream_envelope": _lake_sql(),
         "stream_processor": (
             f"SELECT CAST(event_id AS VARCHAR) AS event_uuid, {_NAME} AS event_name FROM events WHERE event_id % 3 = 0"
@@ -890,6 +917,12 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT 'time', count(DISTINCT {_SECONDS}) FROM events "
             "UNION ALL SELECT 'user_listens', count(*) FROM events WHERE event_id % 8 <> 0"
         ),
+        "etl_published": (
+            "SELECT 'users' AS name, count(DISTINCT c_name) AS n FROM events JOIN customer ON c_custkey = user_id "
+            "UNION ALL SELECT 'artists', count(DISTINCT event_type) FROM events "
+            f"UNION ALL SELECT 'time', count(DISTINCT {_SECONDS}) FROM events "
+            "UNION ALL SELECT 'user_listens', count(*) FROM events WHERE event_id % 8 <> 0"
+        ),
         "etl_fact": _FACT,
         "etl_users_on_day": f"{on_day} AND event_id % 8 <> 0",
         "etl_top_days": (

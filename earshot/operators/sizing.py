@@ -76,6 +76,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a glob pattern, by Spark's own file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [status.getPath().toString() for status in found or ()]
+
+
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
     """Compute a summary once; return it with its number of rows."""
     shared_dir(df.sparkSession)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import logging
 import sys
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -81,9 +81,14 @@ def run_etl(
     rules: Mapping = STAR_RULES,
     orphans: str = "raise",
     buckets: int | None = None,
+    store: Callable[..., LoadResult] = load,
 ) -> EtlResult:
     """Extract, transform and load one log.
 
+    ``store`` takes the frames in: ``load`` into the tables of a database, or
+    ``publish.publish`` into a folder (given as ``database``) whose tables change
+    all at once.
+
     The log is parsed once: its needed fields are staged as Parquet, and the
     four frames read only their own columns from there.
     """
@@ -101,7 +106,7 @@ def run_etl(
         frames = {
             name: staged(df.drop(ORDINAL), f"{scratch}/{name}") for name, df in transform(numbered(listens), rules).items()
         }
-        result = load(spark, frames, database, orphans, buckets)
+        result = store(spark, frames, database, orphans, buckets)
     except Exception:
         logger.exception("Stopped at '%s'; its staged tables are deleted", path)
         discard(spark, scratch)

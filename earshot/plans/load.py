@@ -22,6 +22,37 @@ class LoadResult:
     orphans: DataFrame | None
 
 
+def checked(
+    frames: Mapping[str, DataFrame], stored: Mapping[str, DataFrame], orphans: str
+) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """The frames to load, and the listens set aside, after a check of references against stored and new parents."""
+    if orphans not in ("raise", "quarantine"):
+        raise ValueError(f"orphans must be 'raise' or 'quarantine', not {orphans!r}")
+    parents = {
+        column: stored[parent].select(column).unionByName(frames[parent].select(column))
+        for column, parent in S.LISTEN_PARENTS.items()
+    }
+    incoming, set_aside = dict(frames), None
+    if orphans == "raise":
+        require_parents("user_listens", frames["user_listens"], parents)
+    else:
+        incoming["user_listens"], set_aside = quarantine_orphans(frames["user_listens"], parents)
+    return incoming, set_aside
+
+
+def rows_to_add(name: str, frame: DataFrame, stored: DataFrame, n: int, buckets: int | None = None) -> DataFrame:
+    """The rows of a table's frame of ``n`` rows whose keys are new, dealt out for writing."""
+    unique = S.UNIQUE_COLUMNS[name]
+    ordinal = ORDINAL if ORDINAL in frame.columns else None
+    rows = new_rows(frame, stored, unique, ordinal, n)
+    if buckets:
+        return rows.repartition(buckets, unique[0])
+    if name == "user_listens":
+        # Ordered by time, so that a range of it skips row groups and files; the id cuts a busy second.
+        return rows.repartitionByRange("listen_time", "listen_id").sortWithinPartitions("listen_time")
+    return rows
+
+
 def load(
     spark: SparkSession,
     frames: Mapping[str, DataFrame],
@@ -36,35 +67,15 @@ def load(
     anything is written: ``orphans="raise"`` ends the load on a broken one,
     ``"quarantine"`` sets such listens aside. One load at a time may run on a
     database, as Parquet tables have no transactions; a load that was cut short
-    is completed by running it again.
+    is completed by running it again. ``publish.publish`` changes all tables at once.
     """
-    if orphans not in ("raise", "quarantine"):
-        raise ValueError(f"orphans must be 'raise' or 'quarantine', not {orphans!r}")
     create_star_tables(spark, database, buckets)
     stored = star_tables(spark, database)
-
-    parents = {
-        column: stored[parent].select(column).unionByName(frames[parent].select(column))
-        for column, parent in S.LISTEN_PARENTS.items()
-    }
-    incoming, set_aside = dict(frames), None
-    if orphans == "raise":
-        require_parents("user_listens", frames["user_listens"], parents)
-    else:
-        incoming["user_listens"], set_aside = quarantine_orphans(frames["user_listens"], parents)
-
+    incoming, set_aside = checked(frames, stored, orphans)
     offered = {}
     for name in S.STAR_TABLES:
-        frame = incoming[name]
-        offered[name] = frame.count()
-        unique = S.UNIQUE_COLUMNS[name]
-        ordinal = ORDINAL if ORDINAL in frame.columns else None
-        rows = new_rows(frame, stored[name], unique, ordinal, offered[name])
-        if buckets:
-            rows = rows.repartition(buckets, unique[0])
-        elif name == "user_listens":
-            # Ordered by time, so that a range of it skips row groups and files; the id cuts a busy second.
-            rows = rows.repartitionByRange("listen_time", "listen_id").sortWithinPartitions("listen_time")
+        offered[name] = incoming[name].count()
+        rows = rows_to_add(name, incoming[name], stored[name], offered[name], buckets)
         append_by_name(rows, f"`{database}`.`{name}`")
         spark.catalog.refreshTable(f"`{database}`.`{name}`")
     return LoadResult(offered, set_aside)
