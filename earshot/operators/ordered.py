@@ -41,18 +41,32 @@ def _order(columns: list[str], newest_first: bool) -> list[Column]:
     return [head, *[F.asc(t) for t in ties]]
 
 
-def _number_slices(
-    df: DataFrame, key: str, time: str, ties: list[str], newest_first: bool, out: str, slices: int
-) -> DataFrame:
-    """Row numbers by slices of even size, cut at sampled quantiles of key, time and ties.
+def _cut(df: DataFrame, key: str, order: list[Column], slices: int) -> DataFrame:
+    """The rows with ``_slice``, cut at sampled quantiles of key, time and ties.
 
     The ties make the order total, so a second or a null time with very many
     rows is cut as well. The slices are staged, as their borders come from a
-    sample. Null keys count as a key.
+    sample.
     """
-    order = _order([time, *ties], newest_first)
     ranged = df.repartitionByRange(slices, F.asc(key), *order).withColumn("_slice", F.spark_partition_id())
-    sliced = staged(ranged, scratch_path(df.sparkSession, "slices"))
+    return staged(ranged, scratch_path(df.sparkSession, "slices"))
+
+
+def _same_slice(key: str) -> Column:
+    return F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_part"))
+
+
+def _reversed(columns: list[str]) -> list[Column]:
+    time, *ties = columns
+    return [F.desc_nulls_last(time), *[F.desc(t) for t in ties]]
+
+
+def _number_slices(
+    df: DataFrame, key: str, time: str, ties: list[str], newest_first: bool, out: str, slices: int
+) -> DataFrame:
+    """Row numbers by slices of even size. Null keys count as a key."""
+    order = _order([time, *ties], newest_first)
+    sliced = _cut(df, key, order, slices)
     local = sliced.withColumn("_local", F.row_number().over(W.partitionBy(key, "_slice").orderBy(*order)))
 
     earlier = W.partitionBy("_key").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -62,8 +76,34 @@ def _number_slices(
         .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
         .drop("_size")
     )
-    same_slice = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_part"))
-    return local.join(starts, same_slice).select(*df.columns, (F.col("_before") + F.col("_local")).alias(out))
+    return local.join(starts, _same_slice(key)).select(*df.columns, (F.col("_before") + F.col("_local")).alias(out))
+
+
+def _lag_slices(
+    df: DataFrame, key: str, time: str, ties: list[str], value: str, offset: int, out: str, slices: int
+) -> DataFrame:
+    """Lags by slices: each slice gets the last ``offset`` values of the slices before it, and lags within itself.
+
+    A slice has a row of its key at least, so the last ``offset`` slices hold
+    them. What is carried is a few values for each slice, however long it is.
+    """
+    order = _order([time, *ties], False)
+    sliced = _cut(df, key, order, slices)
+    within = W.partitionBy(key, "_slice").orderBy(*order)
+    last = F.row_number().over(W.partitionBy(key, "_slice").orderBy(*_reversed([time, *ties])))
+    # Values are wrapped, as an array of them would lose nulls.
+    wrapped = F.struct((-F.col("_from_end")).alias("place"), F.col(value).alias("v"))
+    ends = sliced.withColumn("_from_end", last).where(F.col("_from_end") <= offset)
+    ends = ends.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_part")).agg(F.array_sort(F.collect_list(wrapped)).alias("_ends"))
+    earlier = W.partitionBy("_key").orderBy("_part").rowsBetween(-offset, -1)
+    carried = F.flatten(F.collect_list("_ends").over(earlier))
+    carries, n = measured(ends.select("_key", "_part", carried.alias("_carried")))
+    numbered = sliced.withColumn("_local", F.row_number().over(within)).withColumn("_near", F.lag(value, offset).over(within))
+    joined = numbered.join(broadcast_within(carries, n), _same_slice(key))
+    # Row 1 looks ``offset`` values back into what is carried, row ``offset`` one.
+    place = F.size("_carried") - (offset - F.col("_local")) - 1
+    far = F.when(place >= 0, F.get("_carried", place)["v"])
+    return joined.select(*df.columns, F.when(F.col("_local") > offset, F.col("_near")).otherwise(far).alias(out))
 
 
 def row_numbers(
@@ -102,17 +142,12 @@ def lagged(
 ) -> DataFrame:
     """``LAG(value, offset) OVER (PARTITION BY key ORDER BY time, ties)``.
 
-    Rows of a heavy key find their predecessor by row number. The pair of key
-    and number is unique, so that join is even.
+    Slices of a heavy key take the last values of the slices before them along.
     """
     heavy, n = heavy_keys(df, key, max_rows)
     plain = F.lag(value, offset).over(W.partitionBy(key).orderBy(*_order([time, *ties], False)))
     if n == 0:
         return df.withColumn(out, plain)
     light = _in(df, key, heavy, n, "left_anti").withColumn(out, plain)
-    cut = _number_slices(_in(df, key, heavy, n, "left_semi"), key, time, ties, False, "_number", _slices(heavy, max_rows))
-    source = cut.select(
-        F.col(key).alias("_key"), (F.col("_number") + offset).alias("_at"), F.col(value).alias(out)
-    )
-    place = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_number") == F.col("_at"))
-    return light.unionByName(cut.join(source, place, "left").select(*df.columns, out))
+    cut = _lag_slices(_in(df, key, heavy, n, "left_semi"), key, time, ties, value, offset, out, _slices(heavy, max_rows))
+    return light.unionByName(cut)

@@ -77,3 +77,18 @@ def test_count_of_group_on_rows(spark):
     df = frame(spark, "bigint")
     expected = rows(df.withColumn("n", F.count("t").over(W.partitionBy("k"))))
     assert rows(with_group_count(df, "k", "t", "n")) == expected
+
+
+@pytest.mark.parametrize("offset", [1, 6, 40])
+def test_slices_shorter_than_the_lag(spark, offset):
+    """Slices of a few rows, nulls among the values, and a plan that joins no rows with themselves."""
+    df = frame(spark, "bigint").withColumn("v", F.when(F.col("id") % 3 > 0, F.col("v")))
+    expected = rows(df.withColumn("p", F.lag("v", offset).over(W.partitionBy("k").orderBy("t", "id"))))
+    cut = lagged(df, "k", "t", ["id"], "v", offset, "p", max_rows=8)
+    assert rows(cut) == expected
+
+
+def test_a_lag_of_heavy_keys_reads_the_slices_once(spark):
+    df = frame(spark, "bigint")
+    plan = lagged(df, "k", "t", ["id"], "v", 6, "p", max_rows=60)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("/slices-") + plan.count("_slice#") > 0 and plan.count("parquet") == 1
