@@ -20,11 +20,12 @@ from earshot import schemas as S
 from earshot.functions.calendar import date_parts, days_between, epoch_seconds
 from earshot.functions.events import event_subtype, event_type
 from earshot.functions.text import decode_text, encode_text, hash_key, strip
+from earshot.operators.bitmaps import day_bitmaps, dense_numbers, distinct_rolling
 from earshot.operators.dedupe import keep_first
 from earshot.operators.grouping import distinct_total, group_count, percent_of, with_group_count
 from earshot.operators.integrity import orphans, quarantine_orphans
 from earshot.operators.ordered import lagged, row_numbers
-from earshot.operators.sizing import scratch_path
+from earshot.operators.sizing import scratch_path, staged
 from earshot.operators.union import union_by_name
 from earshot.operators.upsert import new_rows
 from earshot.operators.validation import Rule, RuleSet, not_blank, not_null, rejected_rows, valid_rows
@@ -584,6 +585,17 @@ def q_daily_active_7day(spark, d):
     return A.daily_active_7day(listens(spark, d), users(spark, d))
 
 
+def _distinct_users(days: int):
+    """Users of the last days, for each day, from bitmaps; the listens are read for these alone."""
+
+    def query(spark, d):
+        rows = listens(spark, d).select("user_id", F.to_date("listen_time").alias("date"))
+        bitmaps = day_bitmaps(rows, dense_numbers(rows, "user_id"), "user_id", "date")
+        return distinct_rolling(staged(bitmaps, scratch_path(spark, "bitmaps")), days)
+
+    return query
+
+
 def _sql(name: str, **args):
     def query(spark, d):
         tables = {"user_listens": listens(spark, d), "users": users(spark, d), "time": times(spark, d)}
@@ -680,6 +692,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_top_days_joined": q_top_days_joined,
         "q_daily_active": q_daily_active,
         "q_daily_active_7day": q_daily_active_7day,
+        "distinct_users_7day": _distinct_users(7),
+        "distinct_users_30day": _distinct_users(30),
         "sql_top_users": _sql("top_users"),
         "sql_users_on_day": _sql("users_on_day", year=DAY.year, month=DAY.month, day=DAY.day),
         "sql_latest_song": _sql("latest_song"),
@@ -768,6 +782,11 @@ def oracle_sql() -> dict[str, str]:
         f"FROM ({_PER_DAY})) WHERE today - earlier = 6 GROUP BY today"
     )
 
+    rolling = (
+        f"SELECT a.d AS date, count(DISTINCT b.user_id) AS n FROM (SELECT DISTINCT d FROM ({_PER_DAY})) AS a "
+        f"JOIN ({_PER_DAY}) AS b ON b.d BETWEEN a.d - {{}} AND a.d GROUP BY a.d"
+    )
+
     def edge_song(pick: str) -> str:
         return (
             f"SELECT {pick} AS song_name, max(c_name) AS user_name "
@@ -900,6 +919,8 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT NULL, event_name, hour FROM (SELECT DISTINCT event_name, created_us, hour FROM ({_lake_sql()}) "
             "WHERE CAST(event_uuid AS BIGINT) % 10 = 0)"
         ),
+        "distinct_users_7day": rolling.format(6),
+        "distinct_users_30day": rolling.format(29),
         "lake_packed": (
             "SELECT CAST(event_id AS VARCHAR) AS event_uuid, CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour FROM events"
         ),
