@@ -86,9 +86,9 @@ def texts(column: pa.Array | pa.ChunkedArray, piece: int = PIECE) -> Iterator[tu
         row = end
 
 
-def text_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_words(column: pa.Array, piece: int = PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Pieces of a text column: number of the first row, word hashes, and where the words of each text begin."""
-    for row, data, edges in texts(column):
+    for row, data, edges in texts(column, piece):
         hashes, _, owner = word_hashes(data, edges)
         yield row, hashes, np.searchsorted(owner, np.arange(len(edges)))
 
