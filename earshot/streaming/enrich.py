@@ -12,6 +12,8 @@ from earshot.functions.text import decode_text, encode_text
 
 REASON = "reason"
 UNDECODABLE = "not base64 of UTF-8 text"
+NO_TEXT, NO_OBJECT, NO_NAME, NO_TIME = "no text", "not a JSON object", "event_name is not a text", "created_at is not a time"
+REASONS = (NO_TEXT, NO_OBJECT, NO_NAME, NO_TIME, UNDECODABLE)
 
 
 def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -48,10 +50,10 @@ def parse_events(df: DataFrame, text: str = "value") -> DataFrame:
     )
     in_range = F.col("created_seconds").between(E.MIN_SECOND, E.MAX_SECOND)
     reason = (
-        F.when(given.isNull(), "no text")
-        .when(~F.col("_is_object"), "not a JSON object")
-        .when(F.col("event_name").isNull(), "event_name is not a text")
-        .when(F.col("created_seconds").isNull() | ~in_range, "created_at is not a time")
+        F.when(given.isNull(), NO_TEXT)
+        .when(~F.col("_is_object"), NO_OBJECT)
+        .when(F.col("event_name").isNull(), NO_NAME)
+        .when(F.col("created_seconds").isNull() | ~in_range, NO_TIME)
     )
     return parsed.withColumn(REASON, reason).drop("_is_object", "_name_kind", "_time_kind")
 

@@ -8,7 +8,7 @@ costs less than giving up exactly-once with one ``foreachBatch``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +16,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from earshot import schemas as S
-from earshot.streaming.enrich import decode_envelopes, enrich_events, lake_columns, rejected_events
+from earshot.operators.sizing import discard, scratch_path
+from earshot.sources.lake import compact, write_partitioned
+from earshot.streaming.enrich import REASON, REASONS, decode_envelopes, enrich_events, lake_columns, rejected_events
 
 BUFFER_INTERVAL = "300 seconds"
 BUFFER_BYTES = 5 << 20
 REPLAY_WINDOW = "24 hours"
 SLOT = "_slot"
+WRITTEN, REJECTED, OTHER = "written", "rejected", "another reason"
 
 
 def read_events(
@@ -129,6 +132,61 @@ def write_errors(
     )
 
 
+def with_reason_counts(rejected: DataFrame) -> DataFrame:
+    """Count the rejected events of each trigger by reason, as they pass."""
+    counts = [F.count_if(F.col(REASON) == r).alias(r) for r in REASONS]
+    others = F.count_if(~F.coalesce(F.col(REASON).isin(*REASONS), F.lit(False))).alias(OTHER)
+    return rejected.observe(REJECTED, *counts, others)
+
+
+def stage_counts(queries: list[StreamingQuery]) -> dict[str, int]:
+    """Events written, and events rejected by reason, over the triggers that the queries still know.
+
+    A query keeps the progress of its last 100 triggers
+    (``spark.sql.streaming.numRecentProgressUpdates``). Without de-duplication the
+    counts add up to the events read.
+    """
+    out: dict[str, int] = {}
+    for query in queries:
+        for progress in query.recentProgress:
+            for name, row in (progress["observedMetrics"] or {}).items():
+                counts = row.asDict() if hasattr(row, "asDict") else dict(row)
+                for key, n in counts.items():
+                    key = name if name == WRITTEN else key
+                    out[key] = out.get(key, 0) + n
+    return {k: n for k, n in out.items() if n}
+
+
+def replay(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    table: str,
+    start: datetime,
+    end: datetime,
+    tz: str = "UTC",
+    processor: Callable[[DataFrame], DataFrame] | None = None,
+) -> int:
+    """Read again what arrived at a file source from ``start`` to before ``end``, and merge it into the table at ``target``.
+
+    Files count by the time of their last change, at UTC. Their events are
+    enriched into a side lake and taken in by ``compact``, so events that the
+    table has are not added again and a window can be replayed any number of
+    times. Returns the number of events added.
+    """
+    form = "%Y-%m-%dT%H:%M:%S"
+    # Both bounds are exclusive and in whole seconds.
+    window = {"modifiedAfter": (start - timedelta(seconds=1)).strftime(form), "modifiedBefore": end.strftime(form), "timeZone": "UTC"}
+    events = spark.read.options(**window).text(path)
+    enriched = events.transform(processor or (lambda df: enrich_events(df, tz)))
+    side = scratch_path(spark, "replay")
+    try:
+        write_partitioned(lake_columns(enriched), side)
+        return compact(spark, side, target, table)
+    finally:
+        discard(spark, side)
+
+
 def run_stream(
     events: DataFrame,
     root: str,
@@ -157,7 +215,8 @@ def run_stream(
     enriched = with_slot(enriched)
     if dedupe:
         enriched = dedupe_stream(enriched)
-    errors = events.transform(rejects or rejected_events)
+    enriched = enriched.observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
+    errors = with_reason_counts(events.transform(rejects or rejected_events))
     return [
         write_lake(enriched, f"{root}/data", f"{root}/checkpoints/data", once, interval),
         write_errors(errors, f"{root}/errors", f"{root}/checkpoints/errors", once, interval),

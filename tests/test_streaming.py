@@ -1,6 +1,7 @@
 import base64
 import json
-from datetime import datetime
+import os
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from fixtures import rows
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from earshot import schemas as S
 from earshot.sources.lake import compact, read_lake, register_lake, write_partitioned
 from earshot.streaming.enrich import enrich_events, rejected_events
-from earshot.streaming.jobs import BUFFER_BYTES, read_events, run_stream, spread_for_writing, with_slot
+from earshot.streaming.jobs import BUFFER_BYTES, read_events, replay, run_stream, spread_for_writing, stage_counts, with_slot
 
 
 def event(i, name="a:b:c"):
@@ -241,3 +242,46 @@ def test_only_the_partitions_of_a_run_are_added(spark, tmp_path):
     assert register_lake(spark, "stepwise_events", path, enriched[0]) == 0
     assert spark.table("stepwise_events").count() == 10
     spark.sql("DROP TABLE stepwise_events")
+
+
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_counts_of_the_stages_add_up(spark, tmp_path, dedupe):
+    source, root = tmp_path / "in", tmp_path / "out"
+    nameless = {k: v for k, v in event(3).items() if k != "event_uuid"}
+    put(source, "1.json", [event(0), "{bad", event(1), "[]", event(2) | {"created_at": "soon"}])
+    put(source, "2.json", [event(0), "{bad", nameless, nameless, event(5) | {"event_name": 7}])
+    stream = read_events(spark, "text", str(source), maxFilesPerTrigger="1")
+    queries = run_stream(stream, str(root), once=True, dedupe=dedupe)
+    for query in queries:
+        query.awaitTermination()
+    counts = stage_counts(queries)
+    rejected = {"not a JSON object": 3, "created_at is not a time": 1, "event_name is not a text": 1}
+    assert counts == {"written": 4 if dedupe else 5, **rejected}
+    assert sum(counts.values()) == 10 - dedupe
+
+
+def test_reasons_of_ones_own_are_counted_as_others(spark, tmp_path):
+    put(tmp_path / "in", "1.json", [event(0), event(1)])
+    unnamed = lambda df: enrich_events(df).selectExpr("event_uuid", "'odd' AS reason")
+    queries = run_stream(read_events(spark, "text", str(tmp_path / "in")), str(tmp_path / "out"), once=True, rejects=unnamed)
+    for query in queries:
+        query.awaitTermination()
+    assert stage_counts(queries) == {"written": 2, "another reason": 2}
+
+
+def test_a_window_can_be_replayed(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS replayed_events")
+    source, root, target = tmp_path / "in", tmp_path / "out", str(tmp_path / "table")
+    noon = datetime(2024, 5, 1, 12, tzinfo=timezone.utc)
+    for i in range(4):
+        put(source, f"{i}.json", [event(2 * i), event(2 * i + 1)])
+        at = (noon + timedelta(hours=i)).timestamp()
+        os.utime(source / f"{i}.json", (at, at))
+    put(tmp_path / "first", "0.json", [event(2)])
+    drain(spark, tmp_path / "first", root)
+    assert compact(spark, f"{root}/data", target, "replayed_events") == 1
+    start, end = datetime(2024, 5, 1, 13), datetime(2024, 5, 1, 15)
+    assert [replay(spark, str(source), target, "replayed_events", start, end) for _ in range(2)] == [3, 0]
+    assert sorted(r[0] for r in rows(spark.table("replayed_events"))) == ["id-2", "id-3", "id-4", "id-5"]
+    assert replay(spark, str(source), target, "replayed_events", datetime(2024, 5, 1), end) == 2
+    spark.sql("DROP TABLE replayed_events")
