@@ -12,8 +12,9 @@ from earshot.operators.sizing import broadcast_within, measured
 WEIGHTS = (1.0, 2.0, 3.0)
 MAX_REPEATS = 3
 BLOCK_WORDS = 16
-"""Words in a block: a source is off its target by about half a block, and by up to a block for each of its shards
-where the limit of three repeats binds."""
+"""Words in a block: a source is off its target by a block at most. One that the limit of three repeats binds meets it to the word."""
+RING_BLOCKS = 64
+"""Blocks of words that a shard has at least on average, so that its rounding does not show."""
 
 
 def cycled_weights(rank: Column, weights: tuple[float, ...] = WEIGHTS) -> Column:
@@ -94,11 +95,13 @@ def mix_sources(
     Sources, ordered by code point with null last, have the given weights in
     turn. Targets follow ``source_targets``. They become whole numbers of blocks
     by Sainte-Laguë, over the sources and then over the shards of each source. A
-    source has about as many shards as the square root of its rows, so neither
-    the shards of a source nor the rows of a shard are many. The rows of a shard,
+    source has as many shards as the square root of its rows, so neither the
+    shards of a source nor the rows of a shard are many, but fewer if they would
+    hold less than 64 blocks of words each. The rows of a shard,
     in seeded order, are one ring of words; its blocks are laid on the ring one
     after the other from a seeded start, round again where the quota exceeds the
-    ring, at most ``max_repeats`` times. So what a row gives follows from its
+    ring, at most ``max_repeats`` times. A source that the limit binds gives each
+    word so many times. So what a row gives follows from its
     place by arithmetic, and no block is ever a row.
 
     A null text has size 0; a source without words has target 0; an empty table
@@ -114,21 +117,30 @@ def mix_sources(
     by_name = W.orderBy(F.asc_nulls_last("_source"))
     per_source = per_source.withColumn("weight", cycled_weights(F.row_number().over(by_name), weights))
     goals = source_targets(per_source.withColumnRenamed("_source", "source"), max_repeats)
-    goals = goals.withColumn("_shards", F.ceil(F.sqrt("_rows")).cast("bigint")).withColumn("_one", F.lit(1))
+    spread = F.ceil(F.sqrt("_rows")).cast("bigint")
+    large = F.floor(F.col("source_size") / (RING_BLOCKS * block_words)).cast("bigint")
+    goals = goals.withColumns({"_spread": spread, "_shards": F.least(spread, F.greatest(F.lit(1).cast("bigint"), large))})
+    # A source at its limit gives all its words so many times, whatever the blocks.
+    goals = goals.withColumns({"_full": F.col("target") >= max_repeats * F.col("source_size"), "_one": F.lit(1)})
     total = F.round(F.sum("target").over(W.partitionBy("_one")) / block_words).cast("bigint")
-    room = F.floor(max_repeats * F.col("source_size") / block_words).cast("bigint")
+    room = F.ceil(max_repeats * F.col("source_size") / block_words).cast("bigint")
     goals = sainte_lague(goals, ["_one"], "target", total, room, ["source"], "_blocks").withColumnRenamed("source", "_source")
     goals, n_sources = measured(goals.drop("_one", "weight", "_rows"))
 
     same = sized["_source"].eqNullSafe(goals["_source"])
     placed = sized.join(broadcast_within(goals, n_sources), same).drop(goals["_source"])
-    placed = placed.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_place")), F.col("_shards")).cast("int"))
+    # Rows without words are on no ring; they are spread by their number alone.
+    drawn = F.xxhash64(F.lit(seed + 1), F.col("_place"))
+    shard = F.when(F.col("size") > 0, F.pmod(drawn, F.col("_shards"))).otherwise(-1 - F.pmod(drawn, F.col("_spread")))
+    placed = placed.withColumn("_shard", shard.cast("int"))
     shards = placed.groupBy("_source", "_shard").agg(
-        F.sum("size").alias("_ring"), F.first("_blocks").alias("_blocks"), F.first("source_size").alias("_source_size")
+        F.sum("size").alias("_ring"), F.first("_blocks").alias("_blocks"), F.first("_full").alias("_full")
     )
-    shard_room = F.floor(max_repeats * F.col("_ring") / block_words).cast("bigint")
+    shard_room = F.ceil(max_repeats * F.col("_ring") / block_words).cast("bigint")
     shards = sainte_lague(shards, ["_source"], "_ring", F.col("_blocks"), shard_room, ["_shard"], "_quota")
-    shards, n_shards = measured(shards.select("_source", "_shard", "_ring", (F.col("_quota") * block_words).alias("_quota")))
+    most = max_repeats * F.col("_ring")
+    quota = F.when(F.col("_full"), most).otherwise(F.least(F.col("_quota") * block_words, most))
+    shards, n_shards = measured(shards.select("_source", "_shard", "_ring", quota.alias("_quota")))
 
     in_order = W.partitionBy("_source", "_shard").orderBy("_place", F.col(id_col), "size")
     ends = placed.withColumn("_end", F.sum("size").over(in_order.rowsBetween(W.unboundedPreceding, 0)))

@@ -116,3 +116,18 @@ def test_seats_go_to_the_highest_quotients(spark):
         want = Counter(k for _, k in quotients)
         got = sainte_lague(parties, ["g"], "v", F.lit(seats), F.lit(10**9), ["p"], "n").collect()
         assert {r.p: r.n for r in got} == {k: want[k] for k in votes}
+
+
+def test_sources_of_small_documents_meet_their_targets(docs_of):
+    """A hundred documents of one word, four hundred of two, a single one of five, one of empty texts, a large source."""
+    docs = [(i, "w", "a") for i in range(100)] + [(1000 + i, "w " * 40, "b") for i in range(900)]
+    docs += [(3000 + i, "w w", "c") for i in range(400)] + [(5000, "one two three four five", "d")]
+    docs += [(6000 + i, None, "e") for i in range(50)] + [(7000 + i, "w " * (i % 7), "f") for i in range(3000)]
+    out = mix_sources(docs_of(docs)).collect()
+    sources, taken, target = {r.doc_id: r.source for r in out}, {}, {}
+    for r in out:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 3 * r.size
+    assert len(sources) == len(docs) and taken["d"] == 15 and taken["e"] == 0
+    assert {s: abs(taken[s] - target[s]) <= 16 for s in taken} == dict.fromkeys(taken, True)
