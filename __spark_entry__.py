@@ -35,9 +35,10 @@ from earshot.plans.publish import publish, published_star
 from earshot.plans.sql import analysis, run_sql
 from earshot.plans.star import calendar_columns
 from earshot.sources.lake import compact, dedupe_events, read_lake, register_lake, write_partitioned
-from earshot.sources.listens import ORDINAL, extract, flatten
+from earshot.sources.listens import ORDINAL, extract, flatten, malformed_lines, raw_lines
 from earshot.sources.packing import pack, packed_lake
 from earshot.sources.tables import list_tables, star_tables
+from earshot.sources.zip_lines import write_archives
 from earshot.streaming import enrich as N
 from earshot.streaming import jobs as J
 
@@ -468,6 +469,29 @@ def scan_json_lines(spark, d):
     return flat.select(*[F.col(f"`{path}`").alias(name) for path, name in names.items()])
 
 
+def _zip_log(spark, d, lines) -> str:
+    folder = scratch_path(spark, "log")
+    write_archives(lines, folder)
+    return f"{folder}/*.zip"
+
+
+def scan_zip_lines(spark, d):
+    """The log written as archives, one for each task, read and flattened."""
+    lines = raw_listens(spark, d).drop(ORDINAL).select(F.to_json(F.struct("*")).alias("value"))
+    flat = flatten(extract(spark, _zip_log(spark, d, lines)))
+    return flat.select("recording_msid", "user_name", F.col("`track_metadata.release_name`").alias("album"))
+
+
+def malformed_places(spark, d):
+    """Cut lines of archives, with their places checked against the lines found there."""
+    line = F.concat(F.lit('{"recording_msid":"'), F.col("event_id"), F.when(F.col("event_id") % 9 == 0, "").otherwise('"}'))
+    path = _zip_log(spark, d, table(spark, d, "events").select(line.alias("value")))
+    there = raw_lines(spark, path).select(
+        F.col("archive").alias("file"), F.col("name").alias("member"), (F.col("line") + 1).alias("line"), F.col("value").alias("there")
+    )
+    return malformed_lines(spark, path).join(there, ["file", "member", "line"]).select(F.col("value").alias("found"), "there")
+
+
 def _loaded(spark, d) -> str:
     """A database into which the log was loaded twice."""
     database = f"star_{uuid.uuid4().hex}"
@@ -675,6 +699,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lake_table": lake_table,
         "lake_compact": lake_compact,
         "scan_json_lines": scan_json_lines,
+        "scan_zip_lines": scan_zip_lines,
+        "malformed_places": malformed_places,
         "etl_tables": etl_tables,
         "etl_published": etl_published,
         "lake_packed": lake_packed,
@@ -928,6 +954,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_processor": (
             f"SELECT CAST(event_id AS VARCHAR) AS event_uuid, {_NAME} AS event_name FROM events WHERE event_id % 3 = 0"
         ),
+        "scan_zip_lines": (
+            "SELECT CAST(event_id AS VARCHAR) AS recording_msid, c_name AS user_name, "
+            "CASE WHEN event_id % 8 <> 0 THEN props END AS album FROM events JOIN customer ON c_custkey = user_id"
+        ),
+        "malformed_places": (
+            "SELECT '{\"recording_msid\":\"' || event_id AS found, '{\"recording_msid\":\"' || event_id AS there "
+            "FROM events WHERE event_id % 9 = 0"
+        ),
         "scan_json_lines": (
             f"SELECT CAST(event_id AS VARCHAR) AS id, c_name AS user_name, CAST({_SECONDS} AS VARCHAR) AS listened_at, "
             "CASE WHEN event_id % 8 <> 0 THEN props END AS album FROM events JOIN customer ON c_custkey = user_id"

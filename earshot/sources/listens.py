@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.errors import UnsupportedFileFormatException
 from earshot.operators.validation import field_paths
-from earshot.operators.sizing import broadcast_within, measured, qualified
+from earshot.operators.sizing import broadcast_within, measured
 from earshot.schemas import RAW_LISTEN
-from earshot.sources.zip_lines import ZipLines
+from earshot.sources.zip_lines import zip_lines
 
 ORDINAL = "_ordinal"
 """Place of a row in the input; rows compare by it in input order."""
@@ -31,8 +31,9 @@ def extract(
     """Read the log as nested rows, each with its ordinal.
 
     ``schema=None`` infers all fields at the price of one more pass. A malformed
-    line fails the read; with ``corrupt_column`` it becomes a row holding the
-    line in that column instead.
+    line fails the read, and the error names its file, or its archive, member and
+    line; ``malformed_lines`` finds the places of all of them. With
+    ``corrupt_column`` it becomes a row holding the line in that column instead.
     """
     if not path.endswith((ARCHIVE_EXTENSION, *TEXT_EXTENSIONS)):
         raise UnsupportedFileFormatException(UNSUPPORTED)
@@ -55,20 +56,66 @@ def _extract_archive(
 ) -> DataFrame:
     lines = _archive_lines(spark, path)
     if schema is None:
-        schema = infer_schema(lines)
+        schema = infer_schema(lines, _refused())
     place = F.struct("archive", "member", "line")
     # A large member is one task's work to read; spread its lines before parsing.
-    spread = lines.select("value", place.alias(ORDINAL)).repartition(ORDINAL)
+    spread = lines.select("value", "name", place.alias(ORDINAL)).repartition(ORDINAL)
     if not schema.fields:
         return spread.select(ORDINAL)
+    if options["mode"] == "FAILFAST":
+        wide, corrupt, permissive = _with_corrupt(schema)
+        read = spread.select(F.from_json("value", wide, permissive).alias("listen"), "name", ORDINAL)
+        checked = F.when(F.col(f"listen.{corrupt}").isNotNull(), _refused(f"{ORDINAL}.")).otherwise(F.col("listen"))
+        return read.select(checked.alias("listen"), ORDINAL).select("listen.*", ORDINAL).drop(corrupt)
     parsed = F.from_json("value", schema, options)
     return spread.select(parsed.alias("listen"), ORDINAL).select("listen.*", ORDINAL)
 
 
+def _with_corrupt(schema: T.StructType) -> tuple[T.StructType, str, dict[str, str]]:
+    """The schema with a column for lines that do not fit it, the column's name, and the options to read so."""
+    corrupt = "_corrupt"
+    while corrupt in schema.names:
+        corrupt += "_"
+    wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    return wide, corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+
+
+def _malformed(schema: T.StructType) -> Column:
+    """Whether ``value`` cannot be read as a record of the schema."""
+    wide, corrupt, options = _with_corrupt(schema)
+    return F.from_json("value", wide, options)[corrupt].isNotNull()
+
+
+def _refused(prefix: str = "") -> Column:
+    """An error that names the place of a line of an archive; lines count from 1."""
+    line = (F.col(f"{prefix}line") + 1).cast("string")
+    parts = ["[MALFORMED_RECORD] archive '", F.col(f"{prefix}archive"), "', member '", F.col("name"), "', line ", line]
+    return F.raise_error(F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
+
+
+def malformed_lines(spark: SparkSession, path: str, schema: T.StructType = RAW_LISTEN) -> DataFrame:
+    """The places of all malformed lines: ``file``, ``member`` (null for plain files), ``line`` from 1, ``value``.
+
+    The lines of a plain file are counted per split in one aggregate, so only
+    the malformed ones meet the counts of the splits before theirs. Blank lines
+    count as lines and are not malformed; an empty log has none.
+    """
+    bad = (F.trim("value") != "") & _malformed(schema)
+    if path.endswith(ARCHIVE_EXTENSION):
+        found = zip_lines(spark, path).where(bad)
+        return found.select(F.col("archive").alias("file"), F.col("name").alias("member"), (F.col("line") + 1).alias("line"), "value")
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    lines = spark.read.text(path).select("value", *split, F.monotonically_increasing_id().alias("row"))
+    splits = lines.groupBy("file", "start").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    before = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1
+    splits, n = measured(splits.select("file", "start", shift.alias("shift")))
+    found = lines.where(bad).join(broadcast_within(splits, n), ["file", "start"])
+    return found.select("file", F.lit(None).cast("string").alias("member"), (F.col("row") + F.col("shift")).alias("line"), "value")
+
+
 def _archive_lines(spark: SparkSession, path: str) -> DataFrame:
-    spark.dataSource.register(ZipLines)
-    lines = spark.read.format("zip_lines").load(qualified(spark, path))
-    return lines.where(F.col("value") != "")
+    return zip_lines(spark, path).where(F.col("value") != "")
 
 
 def raw_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -78,13 +125,18 @@ def raw_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.col("value") != "")
 
 
-def infer_schema(lines: DataFrame) -> T.StructType:
+def infer_schema(lines: DataFrame, refused: Column | None = None) -> T.StructType:
     """Schema of all JSON objects in ``value``, computed as one aggregate.
 
     A field that is null in every row is kept, as text, as Spark's JSON reader
-    does; a field that occurs in no row is absent.
+    does; a field that occurs in no row is absent. ``refused`` is the error of a
+    line that is no JSON.
     """
-    found = lines.agg(F.schema_of_variant_agg(F.parse_json("value")).alias("ddl")).first()["ddl"]
+    parsed = F.parse_json("value")
+    if refused is not None:
+        valid = F.try_parse_json("value")
+        parsed = F.when(valid.isNull(), refused.cast("variant")).otherwise(valid)
+    found = lines.agg(F.schema_of_variant_agg(parsed).alias("ddl")).first()["ddl"]
     schema = _without_void(T._parse_datatype_string((found or "VOID").replace("OBJECT<", "STRUCT<")))
     return schema if isinstance(schema, T.StructType) else T.StructType([])
 

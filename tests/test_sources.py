@@ -6,7 +6,8 @@ from earshot import schemas as S
 from earshot.errors import MissingDataException, UnsupportedFileFormatException
 from earshot.operators.union import union_by_name
 from earshot.operators.validation import check_required
-from earshot.sources.listens import ORDINAL, absent_paths, extract, flatten, raw_lines
+from earshot.sources.listens import ORDINAL, absent_paths, extract, flatten, malformed_lines, raw_lines
+from earshot.sources.zip_lines import arrow_knows
 
 
 def picked(df):
@@ -67,6 +68,59 @@ def test_cut_off_record_fails_the_read(spark, tmp_path, schema, kind):
         extract(spark, path, schema).collect()
 
 
+@pytest.mark.parametrize("schema", [S.RAW_LISTEN, None])
+def test_error_names_the_place_in_the_archive(spark, tmp_path, schema):
+    good = lines(records())
+    path = write_zip(tmp_path / "placed.zip", {"a.txt": good, "sub/b.txt": f"{good}\n\n{good[:135]}"})
+    with pytest.raises(Exception, match=r"archive '.*placed\.zip', member 'sub/b\.txt', line 5"):
+        extract(spark, path, schema).collect()
+
+
+def test_places_of_malformed_lines_in_archives(spark, tmp_path):
+    good = lines(records())
+    path = write_zip(tmp_path / "bad.zip", {"a.txt": good, "b.txt": f"{{\n{good}\n\nno json"})
+    found = malformed_lines(spark, path).collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.member, r.line, r.value) for r in found) == [
+        ("bad.zip", "b.txt", 1, "{"),
+        ("bad.zip", "b.txt", 6, "no json"),
+    ]
+
+
+def test_places_of_malformed_lines_over_splits_and_files(spark, tmp_path):
+    good = lines(records()).split("\n")[0]
+    want = set()
+    for name in ("a.json", "b.json"):
+        rows_of = [("x" if i % 97 == 5 else "" if i % 10 == 0 else good) for i in range(400)]
+        want |= {(name, i + 1) for i, row in enumerate(rows_of) if row == "x"}
+        write_text(tmp_path / name, "\n".join(rows_of) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = malformed_lines(spark, f"{tmp_path}/*.json").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.file.rsplit("/", 1)[1], r.line) for r in found) == sorted(want)
+    assert malformed_lines(spark, write_text(tmp_path / "none.txt", "")).count() == 0
+
+
+def test_archives_by_pattern(spark, tmp_path):
+    for i in range(2):
+        write_zip(tmp_path / f"part{i}.zip", {"x.txt": lines([listen(i, str(i), "s")])})
+    assert sorted(r[0] for r in extract(spark, f"{tmp_path}/part*.zip").select("recording_msid").collect()) == ["0", "1"]
+
+
+def test_archive_on_a_file_system_that_only_spark_knows(spark, tmp_path):
+    write_zip(tmp_path / "far.zip", {"a.txt": lines(records()), "b.txt": lines(records())[:135]})
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("fs.viewfs.mounttable.logs.link./in", f"file://{tmp_path}")
+    path = "viewfs://logs/in/far.zip"
+    assert not arrow_knows(path)
+    kept = extract(spark, path, corrupt_column="_corrupt")
+    assert picked(kept.where("_corrupt IS NULL")) == EXPECTED
+    [bad] = malformed_lines(spark, path).collect()
+    assert (bad.file, bad.member, bad.line) == (path, "b.txt", 1)
+
+
 def test_corrupt_column_keeps_the_line(spark, tmp_path):
     cut = lines(records())[:135]
     path = write_text(tmp_path / "corrupt.txt", lines(records()) + "\n" + cut)
