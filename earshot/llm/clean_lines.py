@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.text import WORD, n_words, whole, words_of
+from earshot.llm.text import WORD, n_words, set_aside, whole, words_of
 
 WINDOW = 8
 ADDED = (
@@ -92,8 +92,12 @@ def clean_lines(docs: DataFrame, text_col: str = "text", max_loss: float = 0.3)
     Lines are cut at ``\\n``; lines without a word neither fail nor count. A null
     text is empty: no words, failed, an empty clean text. Nothing but the row
     itself is looked at, so repeated rows get equal results. Columns of ``docs``
-    with the names above are replaced.
+    with the names above are replaced; an empty table gives no rows.
     """
+    return set_aside(docs, lambda d: _judged(d, text_col, max_loss), [text_col])
+
+
+def _judged(docs: DataFrame, text_col: str, max_loss: float) -> DataFrame:
     text = whole(text_col)
     texts = docs.withColumn("_text", text).withColumn("_words", words_of(F.col("_text")))
     lines = F.filter(F.split("_text", "\n", -1), has_word)

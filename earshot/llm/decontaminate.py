@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from earshot.llm.text import set_aside
 from earshot.llm.words import ngram_hashes, text_words
 
 SEED = 3
@@ -237,5 +238,13 @@ def leaked_pairs(matched: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that hold no test item, their columns unchanged."""
-    return benchmark_matches(docs, benchmark, text_col).where(F.size("matches") == 0).drop("matches")
+    """The documents that hold no test item, their columns unchanged.
+
+    A null or empty text holds none; repeated rows go or stay together; an empty
+    table gives no rows, and without items all documents stay.
+    """
+
+    def clean(docs: DataFrame) -> DataFrame:
+        return benchmark_matches(docs, benchmark, text_col).where(F.size("matches") == 0).drop("matches")
+
+    return set_aside(docs, clean, [text_col], ["matches"])

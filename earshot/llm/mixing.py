@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from earshot.llm.text import n_words, whole
+from earshot.llm.text import n_words, set_aside, whole
 from earshot.operators.sizing import broadcast_within, measured
 
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -108,6 +108,23 @@ def mix_sources(
     gives no rows. Repeated rows count as rows of their own. Reruns agree.
     Columns of ``docs`` with the names above are replaced.
     """
+
+    def work(docs: DataFrame) -> DataFrame:
+        return _mixed(docs, id_col, text_col, source_col, weights, block_words, max_repeats, seed)
+
+    return set_aside(docs, work, [id_col, text_col, source_col])
+
+
+def _mixed(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    source_col: str,
+    weights: tuple[float, ...],
+    block_words: int,
+    max_repeats: int,
+    seed: int,
+) -> DataFrame:
     added = ["size", "source_size", "target", "taken"]
     docs = docs.drop(*added)
     identity = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.llm.components import components
+from earshot.llm.text import set_aside
 from earshot.llm.words import constants, mix, ngram_hashes, text_words
 from earshot.operators.sizing import broadcast_within, measured, scratch_path, staged
 
@@ -296,9 +297,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each group, all its columns unchanged.
 
     Of rows that repeat the id of a kept document one stays, the first by its
-    text. A group in which every id is null keeps its rows.
+    text. A group in which every id is null keeps its rows. Null and empty texts
+    are in no group; an empty table gives no rows.
     """
-    spark = docs.sparkSession
+    return set_aside(docs, lambda d: _one_of_each(d, id_col, text_col), [id_col, text_col])
+
+
+def _one_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kept = near_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept_id"))
     counts, n = measured(kept.groupBy("_kept_id").agg(F.count("*").alias("_copies")))
     chosen = docs.join(counts, F.col(id_col).cast("bigint").eqNullSafe(F.col("_kept_id")))

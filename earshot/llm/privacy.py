@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.text import spans, whole
+from earshot.llm.text import set_aside, spans, whole
 from earshot.operators.sizing import broadcast_within, measured, scratch_path, staged
 
 # A match can only begin where a run begins or where the last match ended, so
@@ -177,6 +177,10 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Columns of ``docs`` with the names above are replaced. The statistics are
     computed while the plan is built.
     """
+    return set_aside(docs, lambda d: _found(d, text_col), [text_col])
+
+
+def _found(docs: DataFrame, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.drop("base", "hidden_terms", "safe_text")
     text = whole(text_col)
@@ -194,13 +198,23 @@ def find_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def hide_personal_data(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the safe text in place of the text."""
-    found = find_personal_data(docs, text_col)
-    return found.withColumn(text_col, F.col("safe_text")).select(*docs.columns)
+    """``docs`` with the safe text in place of the text; a null text becomes empty, all other columns stay.
+
+    Repeated rows stay and get equal texts; an empty table gives no rows.
+    """
+
+    def hidden(docs: DataFrame) -> DataFrame:
+        found = find_personal_data(docs, text_col)
+        return found.withColumn(text_col, F.col("safe_text")).select(*docs.columns)
+
+    return set_aside(docs, hidden, [text_col], ("base", "hidden_terms", "safe_text"))
 
 
 def personal_data_digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts of each kind, a digest of the base spans, and all spans as text."""
+    """Counts of each kind, a digest of the base spans, and all spans as text.
+
+    One row for each row of ``found``, repeated ones included; no spans give zeros and empty texts.
+    """
 
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")

@@ -72,3 +72,48 @@ def test_stages(spark):
             assert all(r.n_chars == len(r.text) for r in docs.collect())
         before = after
     assert {"size", "target", "taken"} <= set(docs.columns)
+
+
+HELPERS = "_text _words _source _end _shards _safe _key _kept_id _copies _clean _place matches base kept clean_text terms".split()
+
+
+def odd_documents(spark):
+    """Nulls in any column, empty and long texts, repeats, and columns named like those of the operators."""
+    schema = "doc_id bigint, source string, lang string, n_chars bigint, text string"
+    prose = "The quiet river bends around the old mill and its water turns the wooden wheel all day long. "
+    more = "".join(f"Line {i} tells of harvest number {i * 7919} in the valley. " for i in range(4000))
+    rows = [
+        (None, None, None, None, None),
+        (1, None, "en", None, ""),
+        (2, "a", None, 1, prose * 2),
+        (2, "a", None, 1, prose * 2),
+        (3, None, "en", 5, more),
+        (None, "b", "en", 5, "Write to kim@example.org about the boats that came home before the storm, and " + prose.lower()),
+        (4, "b", "en", 5, None),
+    ]
+    return spark.createDataFrame(rows, schema).selectExpr("*", *[f"'{c}!' AS `{c}`" for c in HELPERS])
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_documents(spark, name, stage):
+    docs = odd_documents(spark)
+    out = stage(spark, docs, DIR)
+    assert out.columns[: len(docs.columns)] == docs.columns
+    found = out.collect()
+    assert all(r[c] == f"{c}!" for r in found for c in HELPERS)
+    ids = sorted(-1 if r.doc_id is None else r.doc_id for r in found)
+    want = {
+        "quality_rules": [-1, 3],  # the text of 2 repeats all its words
+        "near_dedup": [-1, -1, 1, 2, 3, 4],
+        "decontamination": [-1, -1, 1, 2, 2, 3, 4],
+        "privacy": [-1, -1, 1, 2, 2, 3, 4],
+        "mixing": [-1, 2, 2, 3],
+    }
+    assert ids == want[name]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_an_empty_table(spark, name, stage):
+    docs = odd_documents(spark).where("false")
+    out = stage(spark, docs, DIR)
+    assert out.columns[: len(docs.columns)] == docs.columns and out.count() == 0
