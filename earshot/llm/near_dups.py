@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,13 +197,42 @@ def confirm_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield links(kept)
 
 
+def _dealt(rows: DataFrame, *more: DataFrame) -> DataFrame:
+    """The classes of each region (``region``, ``node``, ``root``) with each ``block`` that they are compared in, and what ``more`` says of them.
+
+    All classes of a region are cut into parts of about ``BLOCK``, those set
+    apart also into parts of their own; each pair of such parts is a block. So a
+    class is sent as often as the classes set apart fill parts, and one set
+    apart also as often as the region does.
+    """
+    outside = F.col("root") != F.col("region")
+    counted = rows.groupBy("region").agg(F.count("*").alias("n"), F.count_if(outside).alias("n_apart"))
+    cuts = counted.select("region", *[F.ceil(F.col(n) / BLOCK).cast("int").alias(f"{n}_cuts") for n in ("n", "n_apart")])
+
+    def own(cuts: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(cuts)).cast("int")
+
+    def places(apart: bool) -> Column:
+        across = F.sequence(F.lit(0), F.col("n_cuts" if apart else "n_apart_cuts") - 1)
+        u, v = (lambda k: own("n_apart_cuts"), lambda k: k) if apart else (lambda k: k, lambda k: own("n_cuts"))
+        return F.transform(across, lambda k: F.struct(u(k).alias("u"), v(k).alias("v"), F.lit(apart).alias("apart")))
+
+    copies = F.explode(F.when(outside, F.concat(places(True), places(False))).otherwise(places(False)))
+    dealt = reduce(lambda d, table: d.join(table, "node"), more, rows.join(cuts, "region"))
+    carried = [c for table in more for c in table.columns if c != "node"]
+    dealt = dealt.select("region", "node", "root", *carried, copies.alias("c"))
+    return dealt.select(F.xxhash64("region", "c.u", "c.v").alias("block"), "node", "root", "c.apart", *carried)
+
+
 def _crossing(buckets: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
     """Links between different components that share a bucket.
 
     In each bucket the largest component is set aside. All buckets with the same
     largest component make a region; its classes outside that component are
     compared with all its classes, in blocks of bounded size that hold the full
-    sets, so that only links leave the tasks.
+    sets, so that only links leave the tasks. A class of the largest component
+    goes to as many blocks as the classes set apart fill, not to one for each
+    part of the region.
     """
     spark = buckets.sparkSession
     rooted = buckets.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
@@ -212,16 +242,7 @@ def _crossing(buckets: DataFrame, classes: DataFrame, sets: DataFrame, roots: Da
     mixed = staged(sizes.where("parts > 1").select("bucket", "region"), scratch_path(spark, "mixed"))
     rows = rooted.join(mixed, "bucket").select("region", "node", "root").distinct()
     rows = staged(rows, scratch_path(spark, "regions"))
-    cuts = rows.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
-    rows = rows.join(cuts, "region").join(classes.select("node", "bands"), "node").join(sets, "node")
-    mine = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
-    others = F.sequence(F.lit(0), F.col("cuts") - 1)
-    apart = F.transform(others, lambda k: F.struct(mine.alias("u"), k.alias("v"), F.lit(True).alias("apart")))
-    every = F.transform(others, lambda k: F.struct(k.alias("u"), mine.alias("v"), F.lit(False).alias("apart")))
-    copies = F.explode(F.when(F.col("root") == F.col("region"), every).otherwise(F.concat(apart, every)))
-    blocks = rows.select("region", "node", "root", "bands", "shingles", copies.alias("c"))
-    block = F.xxhash64("region", "c.u", "c.v").alias("block")
-    blocks = blocks.select(block, "node", "root", "c.apart", "bands", "shingles")
+    blocks = _dealt(rows, classes.select("node", "bands"), sets)
     blocks = blocks.repartition("block").sortWithinPartitions("block")
     return blocks.mapInArrow(confirm_blocks, "a bigint, b bigint")
 

@@ -3,9 +3,10 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from earshot.llm.components import components
-from earshot.llm.near_dups import RANKS, drop_near_duplicates, near_duplicates, super_minhash
+from earshot.llm.near_dups import RANKS, _dealt, drop_near_duplicates, near_duplicates, super_minhash
 from llm_words import words
 
 
@@ -73,6 +74,20 @@ def test_large_group_around_the_threshold(docs_of):
     assert made(near_duplicates(docs_of(docs))) == brute_force(docs)
 
 
+def test_rows_sent_follow_the_group(spark):
+    """A region of twice the classes, as many of them apart, sends about twice the rows; each pair to compare meets."""
+
+    def dealt(n):
+        return _dealt(spark.range(n).selectExpr("1L AS region", "id AS node", "IF(id % 50 = 7, id, 1) AS root"))
+
+    sent = [dealt(n).count() for n in (2000, 4000, 8000)]
+    assert sent[1] <= 2.5 * sent[0] and sent[2] <= 2.5 * sent[1] and sent[2] <= 3 * 8000
+    rows = dealt(2000)
+    ours = rows.where("apart").select("block", F.col("node").alias("a"))
+    met = ours.join(rows.where("NOT apart").select("block", F.col("node").alias("b")), "block")
+    assert met.count() == 40 * 2000 and met.select("a", "b").distinct().count() == 40 * 2000
+
+
 def test_one_of_each_group_stays(docs_of):
     copies = "a b c d e f g h i j k l m n"
     docs = docs_of([(5, copies), (2, copies), (2, copies), (7, "other text of five words"), (8, None)], "1 AS _kept_id2")
