@@ -14,7 +14,8 @@ from earshot.operators.sizing import broadcast_within, measured, scratch_path, s
 # each run is read once.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
-CARD = r"[0-9](?:[\x20-]?[0-9])++"
+# A run of fewer than 16 digits is no card; the others match as a whole.
+CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE = r"0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone")
@@ -95,7 +96,11 @@ def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame:
     held = found.select("key", F.explode("base").alias("e")).select("key", F.xxhash64("e.kind", F.lower("e.found")).alias("entity")).distinct()
     held = staged(held, scratch_path(spark, "held"))
     # With fewer texts an entity cannot accompany any term in enough of them.
-    entities, n_entities = measured(held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= MIN_TEXTS))
+    texts_of = [F.bit_xor(F.xxhash64("key", F.lit(k))).alias(f"texts_{k}") for k in (1, 2)]
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity"), *texts_of).where(F.col("n_entity") >= MIN_TEXTS)
+    # Entities of the same texts, as in copies of a directory, share all counts; one of them stands for all.
+    entities = entities.groupBy("n_entity", "texts_1", "texts_2").agg(F.min("entity").alias("entity"))
+    entities, n_entities = measured(entities.select("entity", "n_entity"))
     if not n_entities:
         return none
     held = held.join(broadcast_within(entities, n_entities), "entity")

@@ -1,5 +1,6 @@
 import bisect
 import hashlib
+import math
 import random
 import re
 import time
@@ -181,3 +182,63 @@ def test_many_parts_in_one_text(docs_of):
 def test_no_rows(docs_of):
     none = docs_of(["a"]).where("false")
     assert privacy.find_personal_data(none).count() == 0 and secrets.find_secrets(none).count() == 0
+
+
+def terms_of(text):
+    return set(re.findall(r"(?<![a-z0-9])[a-z][a-z0-9]{2,}", text))
+
+
+def outside_matches(row):
+    text = list(row.text)
+    for x in row.base:
+        text[x.start : x.end] = " " * (x.end - x.start)
+    return "".join(text)
+
+
+def disclosing(rows):
+    """The terms of all texts that disclose an entity, by counting every pair."""
+    whole = sorted(set(rows))
+    held = {}
+    for i, text in enumerate(whole):
+        rest = text
+        for span in sorted(personal(text), key=lambda x: -int(x.split(":")[1])):
+            kind, start, end = span.split(":")
+            held.setdefault((kind, text[int(start) : int(end)].lower()), {})[i] = None
+            rest = rest[: int(start)] + " " + rest[int(end) :]
+        for of in held.values():
+            if i in of:
+                of[i] = terms_of(rest)
+    spoken = [terms_of(text) for text in whole]
+    found = set()
+    for of in held.values():
+        for term in set().union(*of.values()):
+            both, n_term = sum(term in x for x in of.values()), sum(term in x for x in spoken)
+            if not n_term:
+                continue
+            information = math.log2(len(whole) / len(of))
+            mutual = math.log2(both * len(whole) / (n_term * len(of)))
+            if both >= privacy.MIN_TEXTS and information > 0 and mutual >= privacy.ALPHA * information:
+                found.add(term)
+    return found
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_disclosing_terms_equal_brute_force(docs_of, seed):
+    """Entities that share all their texts, some or none, terms in all their texts or in most, and long runs of digits."""
+    draw = random.Random(seed)
+    terms = [f"{a}{b}word" for a in "bcdfgklm" for b in "aeiou"]
+    rows, leaks = [], []
+    for group in range(12):
+        people = [f"p{group}x{k}@mail{group}.org" for k in range(draw.randint(1, 4))]
+        close = [f"close{group}k{k}" for k in range(5)]
+        leaks += close[1:] * draw.randint(0, 2)
+        for i in range(draw.randint(2, 7)):
+            listed = people if group % 2 else draw.sample(people, draw.randint(1, len(people)))
+            said = [t for t in close if draw.random() < 0.9] + draw.choices(terms, k=3)
+            rows.append(" ".join([*listed, *said, f"n{group}t{i}", "1234 5678 " * draw.randint(0, 3)]))
+    rows += [" ".join(draw.choices(terms, k=4)) + f" other{i} {draw.choice(leaks)}" for i in range(60)] + rows[:5]
+    found = privacy.find_personal_data(docs_of(rows)).collect()
+    want = disclosing(rows)
+    assert want
+    for r in found:
+        assert {x.found for x in r.hidden_terms} == want & terms_of(r.text) & terms_of(outside_matches(r))
