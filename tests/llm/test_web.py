@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -84,12 +85,27 @@ def test_broken_archives_fail(spark, tmp_path):
         ('<script>var t="</p>"</script><style>p{}</style><!-- <p>no --><p>yes<!-- open', ["yes"]),
         ("<p>a &lt; b &nbsp; c</p><p cut", ["a < b c"]),
         ("<article>a<form>f</form>b<article>c</article>d</article>", ["a", "b", "c", "d"]),
+        ('<div class="content has-sidebar"><p>body</p></div>', ["body"]),
+        ('<div class="site-header">menu</div><div class="sidebar">body of the page, most of its text</div>', ["body of the page, most of its text"]),
+        ('<article>one<div class="search-results">two</div><p id="comments-on-law">three</p></article>', ["one", "two", "three"]),
+        ('<article><p>a long enough body<p class="notice">n<p>b</article>', ["a long enough body", "b"]),
+        ('<article>a long enough body<ul><li class="nav">n<ul><li>x</ul>y<li>b</ul>c</article>', ["a long enough body", "b", "c"]),
+        ('<article>a long enough body<table><tr><td class="ad">n<td>b<tr><td>c</table>d</article>', ["a long enough body", "b", "c", "d"]),
+        ('<article>a<b data-id="nav">b</b><i title="x>y">c</i></article>', ["abc"]),
+        ('<p>a</p><p title="never closed>b</p><p>c</p>', ["a", "b", "c"]),
     ],
 )
 def test_blocks(page, lines):
     assert main_text(*page_lines(page), None) == "\n\n".join(lines)
 
 
+@pytest.mark.parametrize("part", ["<x\"", "<x'", "<x ", "<", "</", "<!--", "<script ", '<p class="ad">', "<div class='nav'>x", "class=", '<b class="', "</script "])
+def test_broken_pages_take_time_in_proportion(part):
+    start = time.perf_counter()
+    page_lines(part * (1_000_000 // len(part)) + '"')
+    assert time.perf_counter() - start < 5
+
+
 def lcs(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
