@@ -4,7 +4,8 @@ A plain window brings all rows of a key into one task. The functions here first
 measure which keys exceed ``max_rows`` (an aggregate over the key column alone,
 run while the plan is built). If there are none, the plain window is what runs.
 A heavier key is cut into slices of even size that are numbered in parallel, and
-each slice starts from the number of rows in the slices before it.
+each slice starts from the number of rows in the slices before it. A task cuts
+many slices if they are small, so the tasks follow the rows and not the slices.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from earshot.operators.sizing import broadcast_within, measured, scratch_path, s
 
 MAX_ROWS = 10_000_000
 """Rows of one key that a single task sorts without trouble."""
+TASK_ROWS = 250_000
+"""Rows that a task cuts into slices, where these are smaller."""
 
 
 def heavy_keys(df: DataFrame, key: str, max_rows: int = MAX_ROWS) -> tuple[DataFrame, int]:
@@ -25,10 +28,16 @@ def heavy_keys(df: DataFrame, key: str, max_rows: int = MAX_ROWS) -> tuple[DataF
     return measured(counts.where(F.col("_rows") > max_rows).select(F.col(key).alias("_heavy"), "_rows"))
 
 
-def _slices(heavy: DataFrame, max_rows: int) -> int:
-    """So many slices that one has half of ``max_rows`` rows."""
+def _tasks(heavy: DataFrame, max_rows: int) -> int:
+    """So many tasks that one cuts ``TASK_ROWS`` rows, or a slice if that is more; all cores have some, if there are slices enough."""
     total = heavy.agg(F.sum("_rows")).first()[0]
-    return max(1, -(-2 * total // max(max_rows, 1)))
+    slices = -(-total // _slice_rows(max_rows))
+    return min(slices, max(heavy.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_ROWS)))
+
+
+def _slice_rows(max_rows: int) -> int:
+    """Rows of a slice: half of ``max_rows``."""
+    return max(1, max_rows // 2)
 
 
 def _in(df: DataFrame, key: str, heavy: DataFrame, n: int, how: str) -> DataFrame:
@@ -41,15 +50,19 @@ def _order(columns: list[str], newest_first: bool) -> list[Column]:
     return [head, *[F.asc(t) for t in ties]]
 
 
-def _cut(df: DataFrame, key: str, order: list[Column], slices: int) -> DataFrame:
-    """The rows with ``_slice``, cut at sampled quantiles of key, time and ties.
+def _cut(df: DataFrame, key: str, order: list[Column], tasks: int, size: int) -> DataFrame:
+    """The rows with ``_slice``, which grows in the order of key, time and ties and holds ``size`` rows at most.
 
-    The ties make the order total, so a second or a null time with very many
-    rows is cut as well. The slices are staged, as their borders come from a
+    Each task sorts the rows between two sampled quantiles and cuts them by their
+    places. The ties make the order total, so a second or a null time with very
+    many rows is cut as well. The slices are staged, as their borders come from a
     sample.
     """
-    ranged = df.repartitionByRange(slices, F.asc(key), *order).withColumn("_slice", F.spark_partition_id())
-    return staged(ranged, scratch_path(df.sparkSession, "slices"))
+    place = F.monotonically_increasing_id()
+    by_key = [F.asc(key), *order]
+    ranged = df.repartitionByRange(tasks, *by_key).sortWithinPartitions(*by_key).withColumn("_place", place)
+    sliced = ranged.withColumn("_slice", F.col("_place") - F.col("_place") % size).drop("_place")
+    return staged(sliced, scratch_path(df.sparkSession, "slices"))
 
 
 def _same_slice(key: str) -> Column:
@@ -62,11 +75,11 @@ def _reversed(columns: list[str]) -> list[Column]:
 
 
 def _number_slices(
-    df: DataFrame, key: str, time: str, ties: list[str], newest_first: bool, out: str, slices: int
+    df: DataFrame, key: str, time: str, ties: list[str], newest_first: bool, out: str, tasks: int, size: int
 ) -> DataFrame:
     """Row numbers by slices of even size. Null keys count as a key."""
     order = _order([time, *ties], newest_first)
-    sliced = _cut(df, key, order, slices)
+    sliced = _cut(df, key, order, tasks, size)
     local = sliced.withColumn("_local", F.row_number().over(W.partitionBy(key, "_slice").orderBy(*order)))
 
     earlier = W.partitionBy("_key").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -80,7 +93,7 @@ def _number_slices(
 
 
 def _lag_slices(
-    df: DataFrame, key: str, time: str, ties: list[str], value: str, offset: int, out: str, slices: int
+    df: DataFrame, key: str, time: str, ties: list[str], value: str, offset: int, out: str, tasks: int, size: int
 ) -> DataFrame:
     """Lags by slices: each slice gets the last ``offset`` values of the slices before it, and lags within itself.
 
@@ -88,7 +101,7 @@ def _lag_slices(
     them. What is carried is a few values for each slice, however long it is.
     """
     order = _order([time, *ties], False)
-    sliced = _cut(df, key, order, slices)
+    sliced = _cut(df, key, order, tasks, size)
     within = W.partitionBy(key, "_slice").orderBy(*order)
     last = F.row_number().over(W.partitionBy(key, "_slice").orderBy(*_reversed([time, *ties])))
     # Values are wrapped, as an array of them would lose nulls.
@@ -126,7 +139,8 @@ def row_numbers(
     if n == 0:
         return df.withColumn(out, plain)
     light = _in(df, key, heavy, n, "left_anti").withColumn(out, plain)
-    cut = _number_slices(_in(df, key, heavy, n, "left_semi"), key, time, ties, newest_first, out, _slices(heavy, max_rows))
+    rows = _in(df, key, heavy, n, "left_semi")
+    cut = _number_slices(rows, key, time, ties, newest_first, out, _tasks(heavy, max_rows), _slice_rows(max_rows))
     return light.unionByName(cut)
 
 
@@ -149,5 +163,6 @@ def lagged(
     if n == 0:
         return df.withColumn(out, plain)
     light = _in(df, key, heavy, n, "left_anti").withColumn(out, plain)
-    cut = _lag_slices(_in(df, key, heavy, n, "left_semi"), key, time, ties, value, offset, out, _slices(heavy, max_rows))
+    rows = _in(df, key, heavy, n, "left_semi")
+    cut = _lag_slices(rows, key, time, ties, value, offset, out, _tasks(heavy, max_rows), _slice_rows(max_rows))
     return light.unionByName(cut)

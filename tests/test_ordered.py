@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 from fixtures import rows
@@ -92,3 +93,26 @@ def test_a_lag_of_heavy_keys_reads_the_slices_once(spark):
     df = frame(spark, "bigint")
     plan = lagged(df, "k", "t", ["id"], "v", 6, "p", max_rows=60)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("/slices-") + plan.count("_slice#") > 0 and plan.count("parquet") == 1
+
+
+@pytest.mark.parametrize("function", ["row_numbers"])
+def test_tasks_follow_the_rows_and_not_the_slices(spark, function, monkeypatch):
+    """Thousands of small slices are cut by a few tasks; each key's slices are small and in order."""
+    df = spark.range(6000).selectExpr("id % 50 AS k", "id % 7 AS t", "id", "cast(id AS string) AS v")
+    kept = []
+    stage = ordered.staged
+    monkeypatch.setattr(ordered, "staged", lambda frame, path: kept.append((stage(frame, path), path)) or kept[-1][0])
+    if function == "row_numbers":
+        found = row_numbers(df, "k", "t", ["id"], "out", max_rows=6)
+        plain = F.row_number().over(W.partitionBy("k").orderBy("t", "id")).cast("bigint")
+    else:
+        found = lagged(df, "k", "t", ["id"], "v", 6, "out", max_rows=6)
+        plain = F.lag("v", 6).over(W.partitionBy("k").orderBy("t", "id"))
+    assert rows(found) == rows(df.withColumn("out", plain))
+    [(slices, path)] = kept
+    assert 1 < len(list(Path(path).glob("part-*"))) <= spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in slices.groupBy("_slice").count().collect()]
+    assert len(sizes) >= 2000 and max(sizes) <= 3
+    ends = slices.groupBy("k", "_slice").agg(F.min(F.struct("t", "id")).alias("low"), F.max(F.struct("t", "id")).alias("high"))
+    after = F.lag("high").over(W.partitionBy("k").orderBy("_slice"))
+    assert ends.withColumn("before", after).where("before >= low").count() == 0
