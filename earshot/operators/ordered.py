@@ -109,8 +109,9 @@ def _lag_slices(
     ends = sliced.withColumn("_from_end", last).where(F.col("_from_end") <= offset)
     ends = ends.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_part")).agg(F.array_sort(F.collect_list(wrapped)).alias("_ends"))
     earlier = W.partitionBy("_key").orderBy("_part").rowsBetween(-offset, -1)
-    carried = F.flatten(F.collect_list("_ends").over(earlier))
-    carries, n = measured(ends.select("_key", "_part", carried.alias("_carried")))
+    carried = ends.select("_key", "_part", F.flatten(F.collect_list("_ends").over(earlier)).alias("_carried"))
+    first = F.greatest(F.size("_carried") - (offset - 1), F.lit(1))
+    carries, n = measured(carried.withColumn("_carried", F.slice("_carried", first, offset)))
     numbered = sliced.withColumn("_local", F.row_number().over(within)).withColumn("_near", F.lag(value, offset).over(within))
     joined = numbered.join(broadcast_within(carries, n), _same_slice(key))
     # Row 1 looks ``offset`` values back into what is carried, row ``offset`` one.

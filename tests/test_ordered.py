@@ -95,7 +95,7 @@ def test_a_lag_of_heavy_keys_reads_the_slices_once(spark):
     assert plan.count("/slices-") + plan.count("_slice#") > 0 and plan.count("parquet") == 1
 
 
-@pytest.mark.parametrize("function", ["row_numbers"])
+@pytest.mark.parametrize("function", ["row_numbers", "lagged"])
 def test_tasks_follow_the_rows_and_not_the_slices(spark, function, monkeypatch):
     """Thousands of small slices are cut by a few tasks; each key's slices are small and in order."""
     df = spark.range(6000).selectExpr("id % 50 AS k", "id % 7 AS t", "id", "cast(id AS string) AS v")
