@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -198,10 +198,10 @@ def shared_lines(lines: list[str], other: list[str]) -> set[int]:
     return shared
 
 
-def closeness(a: str, b: str) -> int:
+def closeness(a: list[str], b: list[str]) -> int:
     """Leading path segments that two paths share."""
     same = 0
-    for x, y in zip(a.split("/"), b.split("/"), strict=False):
+    for x, y in zip(a, b, strict=False):
         if x != y:
             break
         same += 1
@@ -219,24 +219,55 @@ def main_text(lines: list[str], main: list[bool], partner: list[str] | None) ->
     return "\n\n".join(kept)
 
 
-def extract_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [page_lines(page or "") for page in batch.column("html").to_pylist()]
-        made = [pa.array([x[0] for x in found], pa.list_(pa.string())), pa.array([x[1] for x in found], pa.list_(pa.bool_()))]
-        at = batch.schema.get_field_index("html")
-        columns = [c for i, c in enumerate(batch.columns) if i != at]
-        names = [n for i, n in enumerate(batch.schema.names) if i != at]
-        yield pa.RecordBatch.from_arrays(columns + made, names=[*names, "lines", "main"])
+def url_order(host: str, path: list[str], page_id: int | None) -> tuple:
+    """A key that sorts as Spark sorts host, path and page, a null id first."""
+    return host, path, page_id is not None, page_id or 0
+
+
+def extract_lines(ranges) -> Callable:
+    """The lines of each page, in its range of the sorted URLs.
+
+    The first and the last page of a range go to the range before or after it as
+    well, where they are neighbours only (``_beside``).
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lows, highs = ranges.value
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("_host", "_path", "page_id")), strict=True)
+            rows, parts, beside = [], [], []
+            for i, key in enumerate(url_order(*k) for k in keys):
+                part = max(0, bisect_right(lows, key) - 1)
+                found = [(part, False)]
+                if key == lows[part] and part:
+                    found.append((part - 1, True))
+                if key == highs[part] and part + 1 < len(lows):
+                    found.append((part + 1, True))
+                rows += [i] * len(found)
+                parts += [p for p, _ in found]
+                beside += [b for _, b in found]
+            lines = [page_lines(page or "") for page in batch.column("html").to_pylist()]
+            made = [pa.array([x[0] for x in lines], pa.list_(pa.string())), pa.array([x[1] for x in lines], pa.list_(pa.bool_()))]
+            at = batch.schema.get_field_index("html")
+            columns = [c for i, c in enumerate(batch.columns) if i != at]
+            names = [n for i, n in enumerate(batch.schema.names) if i != at]
+            whole = pa.RecordBatch.from_arrays(columns + made, names=[*names, "lines", "main"])
+            if len(rows) > batch.num_rows:
+                whole = whole.take(pa.array(rows))
+            columns = [*whole.columns, pa.array(parts, pa.int32()), pa.array(beside, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*whole.schema.names, "_part", "_beside"])
+
+    return task
 
 
 def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of pages that come sorted by host and path; each page waits for the next one."""
+    """Texts of pages that come sorted by range, host and path; each page waits for the next one."""
     before, page = None, None
 
     def text(before: dict | None, page: dict, after: dict | None) -> str:
         if any(page["main"]):
             return main_text(page["lines"], page["main"], None)
-        near = [p for p in (before, after) if p is not None and p["_host"] == page["_host"]]
+        near = [p for p in (before, after) if p is not None and (p["_part"], p["_host"]) == (page["_part"], page["_host"])]
         best = max(near, key=lambda p: closeness(p["_path"], page["_path"]), default=None)
         return main_text(page["lines"], page["main"], best["lines"] if best else None)
 
@@ -248,22 +279,25 @@ def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for after in batch.to_pylist():
-            if page is not None:
+            if page is not None and not page["_beside"]:
                 rows.append((page["page_id"], page["url"], text(before, page, after)))
             before, page = page, after
         if rows:
             yield batch_of(rows)
-    if page is not None:
+    if page is not None and not page["_beside"]:
         yield batch_of([(page["page_id"], page["url"], text(before, page, None))])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` of each row of ``page_id``, ``url``, ``html``.
 
-    Pages are sorted by host and URL path over the whole table, so that a large host
-    is spread over many tasks; each page is paired with the neighbour in that
-    order, of the same host and task, that shares more leading path segments,
-    the former one on a tie. Lines are aligned by a longest common subsequence
+    Pages are sorted by host and the segments of the URL path over the whole
+    table, so that a large host is spread over many tasks; each page is paired
+    with the neighbour in that order, of the same host, that shares more leading
+    path segments, the former one on a tie. No other page of the host shares more
+    than the two neighbours do. The order is cut into ranges by a pass over the
+    URLs alone; the first and the last page of a range are sent to the ranges
+    beside it too, so that no pair is lost where tasks meet. Lines are aligned by a longest common subsequence
     and shared ones deleted, unless the markup vouches for them: a block inside
     an article or main element stays, since pages that repeat an article share
     its lines too, and a page with such a part is that part alone. If nothing is
@@ -276,8 +310,18 @@ def extract_text(pages: DataFrame) -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
-    keyed = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", host.alias("_host"), path.alias("_path"), "html")
-    lines = keyed.mapInArrow(extract_lines, f"page_id bigint, url string, _host string, _path string, {LINES}")
+    parts = F.split(path, "/").alias("_path")
+    keyed = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", host.alias("_host"), parts, "html")
     order = ["_host", "_path", "page_id"]
-    texts = lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(difference, "page_id bigint, url string, text string")
+    context = pages.sparkSession.sparkContext
+    n = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = F.struct(*order)
+    ranged = keyed.select(*order).repartitionByRange(n, *order).groupBy(F.spark_partition_id().alias("_part"))
+    # A row for each range: the keys of its first and its last page.
+    ends = ranged.agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
+    ranges = context.broadcast(tuple(sorted(url_order(*r[c]) for r in ends) for c in ("low", "high")))
+    schema = f"page_id bigint, url string, _host string, _path array<string>, {LINES}, _part int, _beside boolean"
+    lines = keyed.mapInArrow(extract_lines(ranges), schema)
+    near = lines.repartitionById(max(1, len(ends)), F.col("_part")).sortWithinPartitions("_part", *order)
+    texts = near.mapInArrow(difference, "page_id bigint, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))

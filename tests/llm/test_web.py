@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from earshot.llm.page_text import extract_text, main_text, page_lines, shared_lines
+from earshot.llm.page_text import closeness, extract_text, main_text, page_lines, shared_lines
 from earshot.llm.warc import captured_pages, captures, parse_archive, read_warc, write_warc
 
 PAGES = "page_id bigint, url string, html string"
@@ -134,3 +134,34 @@ def test_nearest_page_tells_the_template(spark):
     alone = "Site name\n\nWelcome back\n\nalone\n\nImprint"
     assert texts == [(1, "first", 5), (2, "second", 6), (3, alone, len(alone)), (4, "", 0), (5, "kept", 4), (5, "kept", 4)]
     assert extract_text(spark.createDataFrame([], PAGES)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [2, 7, 40])
+def test_neighbours_in_other_tasks_and_by_segments(spark, parts):
+    """The nearest page of the host, the former on a tie, wherever the tasks begin and end."""
+    draw = random.Random(parts)
+    places = [(f"h{draw.randrange(3)}", draw.choice(["/a/b", "/a/b-x", "/a/b/c", "/a/b/d", "/a.c/d", "/", "/e"])) for _ in range(40)]
+    pages = {}
+    for i, (host, path) in enumerate(places):
+        words = [f"<p>{draw.choice('uvwxyz')}</p>" for _ in range(6)] + [f"<p>own {i}</p>"]
+        draw.shuffle(words)
+        pages[i] = (host, path.split("/"), f"http://{host}{path}", "".join(words) if i % 9 else f"<main>{words[0]}</main><p>x</p>")
+    expected = {}
+    order = sorted(pages, key=lambda i: (*pages[i][:2], i))
+    for at, i in enumerate(order):
+        host, path, _, html = pages[i]
+        beside = [k for k in order[max(0, at - 1) : at] + order[at + 1 : at + 2] if pages[k][0] == host]
+        best = max(beside, key=lambda k: closeness(pages[k][1], path), default=None)
+        assert best is None or closeness(pages[best][1], path) == max(closeness(p[1], path) for k, p in pages.items() if k != i and p[0] == host)
+        expected[i] = main_text(*page_lines(html), page_lines(pages[best][3])[0] if best is not None else None)
+    rows = spark.createDataFrame([(i, url, html) for i, (_, _, url, html) in pages.items()], PAGES)
+    settings = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = extract_text(rows).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r.page_id: r.text for r in found} == expected and len(found) == len(pages)
