@@ -1,3 +1,6 @@
+import tracemalloc
+from zipfile import ZIP_DEFLATED, ZipFile
+
 import pytest
 from fixtures import LISTENS, lines, listen, records, rows, write_text, write_zip
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from earshot import schemas as S
 from earshot.errors import MissingDataException, UnsupportedFileFormatException
 from earshot.operators.union import union_by_name
 from earshot.operators.validation import check_required
+from earshot.sources import zip_lines as Z
 from earshot.sources.listens import ORDINAL, absent_paths, extract, flatten, malformed_lines, raw_lines
 from earshot.sources.zip_lines import arrow_knows
 
@@ -178,3 +182,20 @@ def test_scan_reads_only_the_needed_fields(spark, tmp_path):
     path = write_text(tmp_path / "listens.json", lines(records()))
     plan = extract(spark, path).select(F.col("user_name"), ORDINAL)._jdf.queryExecution().executedPlan()
     assert "ReadSchema: struct<user_name:string>" in plan.toString()
+
+
+def test_a_member_of_short_lines_is_read_in_small_batches(tmp_path):
+    lines = [f"line {i} é" if i % 7 else "" for i in range(500_000)]
+    with ZipFile(tmp_path / "x.zip", "w", ZIP_DEFLATED) as archive:
+        archive.writestr("m.txt", "\r\n".join(lines))
+    count, most = 0, 0
+    with ZipFile(tmp_path / "x.zip") as archive:
+        tracemalloc.start()
+        for batch in Z._lines(archive, "x.zip", 3, "m.txt"):
+            assert batch.schema == Z.ARROW_SCHEMA and batch.column("value").to_pylist() == lines[count : count + batch.num_rows]
+            assert batch.column("line")[0].as_py() == count and set(batch.column("member").to_pylist()) == {3}
+            count += batch.num_rows
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert count == len(lines)
+    assert most < 40 << 20
