@@ -26,7 +26,9 @@ GROUP_BYTES = 4 << 20
 BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 20
 """Most texts, and bytes of texts, that ask for their keys at once."""
 COMMON = 1e-6
-"""Share of all tokens from which a word is common; there are at most 1 / COMMON common words."""
+"""Share of all tokens from which a word is common; there are at most 1 / COMMON common words.
+
+Tasks have the counts of common words at hand. What is learned and scored does not depend on it."""
 SHARD_TOKENS = 1 << 16
 SCORED = 1 << 19
 """Bytes of text whose distinct keys are probed together."""
@@ -99,22 +101,15 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
 
 
-def count_pairs(common) -> Callable:
-    """Pairs of common words with their counts in each batch."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = common.value[0]
-        for batch in batches:
-            parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-            for _, tokens, starts in tokens_of(batch.column(0)):
-                distinct, place, before = distinct_words(tokens, starts)
-                hit = find(words, distinct)[0]
-                both = hit[place] & hit[before]
-                parts.append(np.unique(pair_keys(distinct[before[both]], tokens[both]), return_counts=True))
-            keys, counts = _totals(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
-
-    return task
+def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a token and the one before it with their counts in each batch."""
+    for batch in batches:
+        parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for _, tokens, starts in tokens_of(batch.column(0)):
+            distinct, _, before = distinct_words(tokens, starts)
+            parts.append(np.unique(pair_keys(distinct[before], tokens), return_counts=True))
+        keys, counts = _totals(parts)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
 
 
 def probes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +216,7 @@ def token_levels(look: Callable, common: np.ndarray, seen: np.ndarray, tokens: n
     new = level < 0
     level[new] = look(words[new])
     seen[at[hit]] = level[hit]
-    both = hit[place] & hit[before]
+    both = (level[place] > 0) & (level[before] > 0)  # a word that was never learned is in no pair
     keys, where = np.unique(pair_keys(words[before[both]], tokens[both]), return_inverse=True)
     pair = np.zeros(len(tokens), np.int64)
     pair[both] = look(keys)[where]
@@ -246,27 +241,25 @@ def block_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 low = high
 
 
-def block_keys(texts: pa.Array, common: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys of words and pairs of common words in some texts, by group, and the group of each."""
+def block_keys(texts: pa.Array, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of words and pairs in some texts, by group, and the group of each."""
     parts = [np.array([BEGIN], np.uint64)]
     for _, tokens, starts in tokens_of(texts):
-        words, place, before = distinct_words(tokens, starts)
-        hit = find(common, words)[0]
-        both = hit[place] & hit[before]
-        parts += [words, np.unique(pair_keys(words[before[both]], tokens[both]))]
+        words, _, before = distinct_words(tokens, starts)
+        parts += [words, np.unique(pair_keys(words[before], tokens))]
     keys = np.unique(np.concatenate(parts))
     group = (keys & np.uint64(groups - 1)).astype(np.int64)
     order = np.argsort(group, kind="stable")
     return keys[order], group[order]
 
 
-def ask(common, groups: int) -> Callable:
+def ask(groups: int) -> Callable:
     """The keys of each block, a row for each group of shards."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, texts in zip(batch.column("block").to_pylist(), batch.column("text"), strict=True):
-                keys, group = block_keys(texts.values, common.value[0], groups)
+                keys, group = block_keys(texts.values, groups)
                 lows = np.append(0, np.flatnonzero(np.diff(group)) + 1)
                 data = [keys[a:b].tobytes() for a, b in zip(lows, np.append(lows[1:], len(keys)), strict=True)]
                 arrays = [pa.array(group[lows].astype(np.int32)), pa.array([block] * len(lows), pa.int64()), pa.array(data, pa.binary())]
@@ -320,14 +313,14 @@ def from_filter(shared) -> Callable:
     return batches_of
 
 
-def from_answers(common, groups: int) -> Callable:
+def from_answers(groups: int) -> Callable:
     """Each block as a batch, with the look-up in the levels that came for its keys."""
 
     def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, Callable]]:
         for batch in batches:
             for i, block in enumerate(batch.column("block").to_pylist()):
                 arrays = {c: batch.column(c)[i].values for c in ("doc_id", "held_out", "text")}
-                keys, _ = block_keys(arrays["text"], common.value[0], groups)
+                keys, _ = block_keys(arrays["text"], groups)
                 parts = sorted((x["group"], x["levels"]) for x in batch.column("answers")[i].as_py())
                 level = np.frombuffer(b"".join(x for _, x in parts), np.uint8).astype(np.int64)
                 order = np.argsort(keys)
@@ -401,7 +394,7 @@ def fold(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5, F.lit(0))
 
 
-def answered(rows: DataFrame, built: DataFrame, common, shards: int, groups: int) -> DataFrame:
+def answered(rows: DataFrame, built: DataFrame, shards: int, groups: int) -> DataFrame:
     """The texts in blocks, with the levels of all their keys, by a join with the shards of a filter.
 
     A block asks once for each of its distinct keys, so a frequent pair is no hot key.
@@ -409,7 +402,7 @@ def answered(rows: DataFrame, built: DataFrame, common, shards: int, groups: int
     spark = rows.sparkSession
     lists = "doc_id array<bigint>, held_out array<boolean>, text array<string>"
     blocks = staged(rows.mapInArrow(block_texts, f"block bigint, tuning boolean, {lists}"), scratch_path(spark, "blocks"))
-    asked = blocks.select("block", "text").mapInArrow(ask(common, groups), "group int, block bigint, data binary")
+    asked = blocks.select("block", "text").mapInArrow(ask(groups), "group int, block bigint, data binary")
     group = F.col("shard").bitwiseAND(F.lit(groups - 1)).alias("group")
     parts = built.select(group, F.lit(None).cast("bigint").alias("block"), "shard", F.col("bits").alias("data"))
     both = parts.unionByName(asked.withColumn("shard", F.lit(None).cast("int")))
@@ -423,7 +416,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     """Scores of each text: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     The model is learned from all texts outside the held-out fold. Words and
-    pairs of common words are counted; their counts, quantised to levels, go into
+    all pairs of a word and its history are counted; their counts, quantised to levels, go into
     a Bloom filter, once for each level, which is built in shards by the tasks.
     Its size follows the number of entries. Up to ``MAX_BYTES`` it is sent to all
     tasks; a larger one stays in its shards and the distinct keys of blocks of
@@ -459,7 +452,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     common = spark.sparkContext.broadcast((keys[order], logs[order]))
 
     shards = max(64, 2 ** int(np.ceil(np.log2(max(1, n_tokens / SHARD_TOKENS)))))
-    pairs = train.mapInArrow(count_pairs(common), "key bigint, n bigint").withColumn("word", F.lit(False))
+    pairs = train.mapInArrow(count_pairs, "key bigint, n bigint").withColumn("word", F.lit(False))
     grams = pairs.unionByName(counts.withColumn("word", F.lit(True)))
     # The remainder of the key as an unsigned number; the number of shards is a power of two.
     grams = grams.withColumn("shard", F.col("key").bitwiseAND(F.lit(shards - 1).cast("bigint")).cast("int"))
@@ -476,8 +469,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
         del filters
     else:
         groups = min(shards, max(64, 2 ** int(np.ceil(np.log2(size / GROUP_BYTES)))))
-        source = from_answers(common, groups)
-        rows = answered(rows, built, common, shards, groups)
+        source = from_answers(groups)
+        rows = answered(rows, built, shards, groups)
 
     likelihood = rows.where("tuning").drop("tuning").mapInArrow(tune(source, common, mass), "level bigint, grid bigint, total double")
     table = np.full((LEVELS, len(GRID)), -np.inf)

@@ -127,6 +127,18 @@ def test_base_scores_are_exact_and_the_model_is_better(docs_of, monkeypatch, com
     assert sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)
 
 
+def test_pairs_of_rare_words_are_learned(docs_of, monkeypatch):
+    """Scores do not depend on what is common; nearly all tokens here are in pairs of words that are not."""
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(900)]
+    phrases = [" ".join(draw.sample(words, 8)) for _ in range(60)]
+    texts = [" ".join(draw.choices(phrases, k=12)) for _ in range(250)]
+    want = {r.doc_id: r.score for r in lm_scores(docs_of(texts)).collect()}
+    monkeypatch.setattr(lm_score, "COMMON", 1e-2)
+    found = {r.doc_id: r.score for r in lm_scores(docs_of(texts)).collect()}
+    assert found == pytest.approx(want) and len(found) == 250
+
+
 def test_levels_come_back_from_the_filter(spark):
     import pyarrow as pa
 
