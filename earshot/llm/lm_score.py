@@ -30,8 +30,14 @@ COMMON = 1e-6
 
 Tasks have the counts of common words at hand. What is learned and scored does not depend on it."""
 SHARD_TOKENS = 1 << 16
-SCORED = 1 << 19
-"""Bytes of text whose distinct keys are probed together."""
+PACKED_SHARDS, SHARDS_PACKED = 1 << 11, 1 << 5
+"""Shards up to which each has counts packed by itself, and how many larger numbers of shards share a packet."""
+PACKED_KEYS = 1 << 20
+"""Keys, at least, that are packed together, if a task has so many."""
+SCORED = 1 << 18
+"""Tokens, at least, whose distinct keys are probed together, if a batch has so many."""
+PROBED, LEVELS_AT_ONCE = 1 << 15, 4
+"""Keys that are probed together, and how many levels far; those of higher levels are gathered again."""
 GRID = (0.0, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 LEVELS = 64
 END, BEGIN = (int(x) for x in constants(2, 101))
@@ -54,16 +60,26 @@ def level_values() -> np.ndarray:
 VALUES = level_values()
 
 
-def tokens_of(column: pa.Array, piece: int = PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Pieces of a text column: first row, tokens with one end for each text, and where each text begins."""
-    for row, words, edges in text_words(column, piece):
-        sizes = np.diff(edges) + 1
-        starts = np.append(0, np.cumsum(sizes))
-        tokens = np.full(starts[-1], END, np.uint64)
+def tokens_of(column: pa.Array, least: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Pieces of a text column: first row, tokens with one end for each text, and where each text begins.
+
+    Pieces of fewer than ``least`` tokens are joined with the next.
+    """
+    first, held, sizes = 0, [], []
+    for _, words, edges in text_words(column):
+        size = np.diff(edges) + 1
+        ends = np.cumsum(size) - 1
+        tokens = np.full(size.sum(), END, np.uint64)
         inside = np.ones(len(tokens), bool)
-        inside[starts[1:] - 1] = False
+        inside[ends] = False
         tokens[inside] = words
-        yield row, tokens, starts
+        held.append(tokens)
+        sizes.append(size)
+        if sum(map(len, held)) >= least:
+            yield first, np.concatenate(held), np.append(0, np.cumsum(np.concatenate(sizes)))
+            first, held, sizes = first + sum(map(len, sizes)), [], []
+    if held:
+        yield first, np.concatenate(held), np.append(0, np.cumsum(np.concatenate(sizes)))
 
 
 def distinct_words(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,14 +128,89 @@ def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
 
 
-def probes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first probe of keys at a level, and the step to the next, before they are cut to the size of the bit array."""
-    first = mix(keys + np.array([level], np.uint64) * PAIR[0])
-    return first, mix(first) | np.uint64(1)
+def by_group(keys: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the keys by group (their last bits; ``groups`` is a power of two), the groups that occur, and their edges."""
+    group = (keys & np.uint64(groups - 1)).view(np.int64)
+    order = np.argsort(group.astype(np.uint16) if groups <= 1 << 16 else group, kind="stable")
+    group = group[order]
+    lows = np.flatnonzero(np.diff(group, prepend=-1))
+    return order, group[lows], np.append(lows, len(keys))
+
+
+def packed(groups: int, counted: Callable = iter) -> Callable:
+    """Keys with their counts as a row for each group, so that a shuffle moves packets and not single keys."""
+
+    def packets(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        keys, counts = (np.concatenate([part.column(c).to_numpy() for part in parts]) for c in ("key", "n"))
+        keys = keys.view(np.uint64)
+        order, group, edges = by_group(keys, groups)
+        keys, counts = keys[order], counts[order].view(np.uint64)
+        ranges = list(zip(edges[:-1], edges[1:], strict=True))
+        narrow = [counts[a:b].astype(np.min_scalar_type(counts[a:b].max())).tobytes() for a, b in ranges]
+        arrays = [pa.array(group.astype(np.int32)), pa.array([keys[a:b].tobytes() for a, b in ranges], pa.binary()), pa.array(narrow, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=["group", "keys", "counts"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in counted(batches):
+            held.append(batch)
+            if sum(part.num_rows for part in held) >= PACKED_KEYS:
+                yield packets(held)
+                held = []
+        if held:
+            yield packets(held)
+
+    return task
+
+
+def unpacked(shards: int) -> Callable:
+    """The packets, which come by group, as rows sorted by shard within each group."""
+
+    def rows(held: list[tuple[bytes, bytes, bool]]) -> pa.RecordBatch:
+        keys = np.frombuffer(b"".join(k for k, _, _ in held), np.uint64)
+        sizes = [len(k) // 8 for k, _, _ in held]
+        counts = np.concatenate([np.frombuffer(n, f"u{len(n) // size}").astype(np.int64) for size, (_, n, _) in zip(sizes, held, strict=True)])
+        single = np.repeat([word for _, _, word in held], sizes)
+        order, shard, edges = by_group(keys, shards)
+        columns = (keys[order].view(np.int64), counts[order], single[order], np.repeat(shard.astype(np.int32), np.diff(edges)))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "n", "word", "shard"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            columns = [batch.column(c) for c in ("group", "keys", "counts", "word")]
+            for group, keys, counts, word in zip(*columns, strict=True):
+                if group.as_py() != now and held:
+                    yield rows(held)
+                    held = []
+                now = group.as_py()
+                held.append((keys.as_py(), counts.as_py(), word.as_py()))
+        if held:
+            yield rows(held)
+
+    return task
+
+
+def first_probe(keys: np.ndarray, level: int) -> np.ndarray:
+    """The first probe of keys at a level, before it is cut to the size of the bit array."""
+    return mix(keys + np.array([level], np.uint64) * PAIR[0])
+
 
+def step_of(first: np.ndarray) -> np.ndarray:
+    """The step from each probe to the next."""
+    return mix(first) | np.uint64(1)
 
-def position(first: np.ndarray, step: np.ndarray, k: int, bits: np.ndarray | int) -> np.ndarray:
-    return ((first + np.uint64(k) * step) >> np.uint64(8)) % np.asarray(bits, np.uint64)
+
+def inverse_of(bits: np.ndarray | int) -> np.ndarray:
+    """One by the bits, so much too small that a quotient by it is never too large, and at most one too small."""
+    return (1 - 2.0**-51) / np.asarray(bits, np.float64)
+
+
+def position(probe: np.ndarray, bits: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """The upper 56 bits of a probe modulo the bits, at least 64; an unsigned division takes several times as long."""
+    x = probe >> np.uint64(8)
+    rest = x - (x.view(np.int64) * inverse).astype(np.int64).view(np.uint64) * bits
+    return np.minimum(rest, rest - bits).view(np.int64)  # below zero is beyond all unsigned numbers
 
 
 def build_filter(max_bits: int | None = None) -> Callable:
@@ -141,9 +232,11 @@ def build_filter(max_bits: int | None = None) -> Callable:
         size = (size + 7) // 8 * 8
         flags = np.zeros(size, bool)
         for level in range(1, int(levels.max()) + 1 if len(levels) else 1):
-            first, step = probes(keys[levels >= level], level)
-            for k in range(PROBES):
-                flags[position(first, step, k, size)] = True
+            probe = first_probe(keys[levels >= level], level)
+            step = step_of(probe)
+            for _ in range(PROBES):
+                flags[position(probe, np.uint64(size), inverse_of(size))] = True
+                probe += step
         return np.packbits(flags, bitorder="little").tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,29 +267,51 @@ def build_filter(max_bits: int | None = None) -> Callable:
     return task
 
 
+def entered(data: np.ndarray, keys: np.ndarray, start: np.ndarray, bits: np.ndarray, inverse: np.ndarray, level: int) -> np.ndarray:
+    """Places of the keys that a filter holds at a level; theirs are ``bits`` bits from bit ``start``."""
+    found, probe, step, held = np.arange(len(keys)), first_probe(keys, level), None, None
+    for k in range(PROBES):
+        if k:
+            step = step_of(probe) if step is None else step
+            probe = probe + step
+        at = position(probe, bits, inverse)
+        at += start
+        bit = (data.take(at >> 3, mode="clip") >> (at.astype(np.uint8) & np.uint8(7))) & np.uint8(1)
+        held = bit.view(bool) if held is None else held & bit.view(bool)
+        if np.count_nonzero(held) < 0.9 * len(held):  # what is absent needs no further probe
+            found, start, bits, inverse, probe = (x[held] for x in (found, start, bits, inverse, probe))
+            step = step if step is None else step[held]
+            held = None
+    return found if held is None else found[held]
+
+
 def levels(model: tuple, keys: np.ndarray) -> np.ndarray:
-    """The level of each key: probed upwards until a level is absent."""
+    """The level of each key: probed upwards until a level is absent.
+
+    The number of shards is a power of two. Keys are probed in the order of
+    their shards and a few at a time, so that what they need stays in the cache.
+    """
     data, offsets, sizes = model
     out = np.zeros(len(keys), np.int64)
-    if not len(keys):
-        return out
-    shard = (keys % np.uint64(len(sizes))).astype(np.int64)
-    alive = np.flatnonzero(sizes[shard])
-    level = 1
-    while len(alive) and level < LEVELS:
-        start, size = offsets[shard[alive]], sizes[shard[alive]]
-        first, step = probes(keys[alive], level)
-        found = np.arange(len(alive))
-        for k in range(PROBES):
-            at = position(first, step, k, size).astype(np.int64)
-            hit = ((data[start + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-            if not hit.all():  # what is absent needs no further probe
-                found, start, size, first, step = (x[hit] for x in (found, start, size, first, step))
-            if not len(found):
-                break
-        alive = alive[found]
-        out[alive] = level
-        level += 1
+    shard = (keys & np.uint64(len(sizes) - 1)).view(np.int64)
+    alive = np.argsort((shard >> max(0, len(sizes).bit_length() - 17)).astype(np.uint16), kind="stable")
+    alive = alive[sizes[shard[alive]] > 0]
+    low = 1
+    while len(alive) and low < LEVELS:
+        high, left = min(low + LEVELS_AT_ONCE, LEVELS), []
+        for a in range(0, len(alive), PROBED):
+            part = alive[a : a + PROBED]
+            bits = sizes[shard[part]]
+            columns = (part, keys[part], 8 * offsets[shard[part]], bits.view(np.uint64), inverse_of(bits))
+            for level in range(low, high):
+                kept = entered(data, *columns[1:], level)
+                if len(kept) < len(columns[0]):
+                    columns = tuple(x.take(kept) for x in columns)
+                out[columns[0]] = level
+                if not len(kept):
+                    break
+            left.append(columns[0])
+        alive, low = np.concatenate(left), high
     return out
 
 
@@ -248,9 +363,8 @@ def block_keys(texts: pa.Array, groups: int) -> tuple[np.ndarray, np.ndarray]:
         words, _, before = distinct_words(tokens, starts)
         parts += [words, np.unique(pair_keys(words[before], tokens))]
     keys = np.unique(np.concatenate(parts))
-    group = (keys & np.uint64(groups - 1)).astype(np.int64)
-    order = np.argsort(group, kind="stable")
-    return keys[order], group[order]
+    order, group, edges = by_group(keys, groups)
+    return keys[order], np.repeat(group, np.diff(edges))
 
 
 def ask(groups: int) -> Callable:
@@ -331,18 +445,25 @@ def from_answers(groups: int) -> Callable:
 
 
 def tune(source: Callable, common, mass: float) -> Callable:
-    """Log-likelihood of each weight of the grid by the history's level, each token's own occurrence left out."""
+    """Log-likelihood of each weight of the grid by the history's level, each token's own occurrence left out.
+
+    It depends on levels alone, so tokens are counted by the levels of word, history and pair.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((LEVELS, len(GRID)))
+        times = np.zeros(LEVELS**3)
         seen = no_levels(common.value[0])
         for batch, _, look in source(batches):
             for _, tokens, starts in tokens_of(batch.column("text"), SCORED):
-                word, history, pair, _, _ = token_levels(look, common.value[0], seen, tokens, starts)
-                unigram = (np.maximum(VALUES[word] - 1, 0) + 0.5) / mass
-                bigram = np.minimum(np.maximum(VALUES[pair] - 1, 0) / np.maximum(VALUES[history] - 1, 1), 1)
-                for g, weight in enumerate(GRID):
-                    sums[:, g] += np.bincount(history, np.log10(weight * bigram + (1 - weight) * unigram), LEVELS)
+                cells, counts = np.unique(cell(*token_levels(look, common.value[0], seen, tokens, starts)[:3]), return_counts=True)
+                times[cells] += counts
+        cells = np.flatnonzero(times)
+        word, history, pair = levels_of_cell(cells)
+        unigram = (np.maximum(VALUES[word] - 1, 0) + 0.5) / mass
+        bigram = np.minimum(np.maximum(VALUES[pair] - 1, 0) / np.maximum(VALUES[history] - 1, 1), 1)
+        sums = np.zeros((LEVELS, len(GRID)))
+        for g, weight in enumerate(GRID):
+            sums[:, g] = np.bincount(history, times[cells] * np.log10(weight * bigram + (1 - weight) * unigram), LEVELS)
         at = np.arange(sums.size)
         arrays = [pa.array(at // len(GRID)), pa.array(at % len(GRID)), pa.array(sums.ravel())]
         yield pa.RecordBatch.from_arrays(arrays, names=["level", "grid", "total"])
@@ -350,7 +471,33 @@ def tune(source: Callable, common, mass: float) -> Callable:
     return task
 
 
-def score_texts(source: Callable, common, weights: np.ndarray, mass: float, unseen: float) -> Callable:
+def cell(word: np.ndarray, history: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """One number for the three levels of a token."""
+    return (word * LEVELS + history) * LEVELS + pair
+
+
+def levels_of_cell(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return cells // LEVELS**2, cells // LEVELS % LEVELS, cells % LEVELS
+
+
+def cell_scores(weights: np.ndarray, mass: float) -> np.ndarray:
+    """Log probability of a token by its cell."""
+    word, history, pair = levels_of_cell(np.arange(LEVELS**3))
+    bigram = np.minimum(VALUES[pair] / np.maximum(VALUES[history], 1), 1)
+    weight = weights[history]
+    return np.log10(weight * bigram + (1 - weight) * (VALUES[word] + 0.5) / mass)
+
+
+def rare_tokens(tokens: np.ndarray, starts: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rare tokens of each text and how often each occurs there, and how many each text has."""
+    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[rare]
+    words, place = np.unique(tokens[rare], return_inverse=True)
+    both, counts = np.unique(text * max(1, len(words)) + place, return_counts=True)
+    text, place = np.divmod(both, max(1, len(words)))
+    return words[place].view(np.int64), counts, np.bincount(text, minlength=len(starts) - 1)
+
+
+def score_texts(source: Callable, common, weights: np.ndarray, mass: float) -> Callable:
     """Scores of each text; the base score leaves the rarer words to a join and lists them.
 
     The last column of a batch is the text.
@@ -359,29 +506,26 @@ def score_texts(source: Callable, common, weights: np.ndarray, mass: float, unse
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, logs = common.value
         seen = no_levels(words)
+        by_cell = cell_scores(weights, mass)
+        logs = logs if len(logs) else np.zeros(1)
         for batch, row, look in source(batches):
             sizes, known, base, score = [], [], [], []
-            rare, times = [], []
+            rare, times, ends = [], [], []
             for _, tokens, starts in tokens_of(batch.column(batch.num_columns - 1), SCORED):
                 word, history, pair, hit, place = token_levels(look, words, seen, tokens, starts)
-                bigram = np.minimum(VALUES[pair] / np.maximum(VALUES[history], 1), 1)
-                weight = weights[history]
-                logp = np.log10(weight * bigram + (1 - weight) * (VALUES[word] + 0.5) / mass)
-                plain = np.where(hit, logs[place] if len(logs) else 0.0, 0.0)
                 sizes.append(np.diff(starts))
                 known.append(np.add.reduceat(hit, starts[:-1], dtype=np.int64))
-                base.append(np.add.reduceat(plain, starts[:-1]))
-                score.append(np.add.reduceat(logp, starts[:-1]))
-                for a, b in zip(starts[:-1], starts[1:], strict=True):
-                    keys, counts = np.unique(tokens[a:b][~hit[a:b]], return_counts=True)
-                    rare.append(keys.view(np.int64))
-                    times.append(counts)
+                base.append(np.add.reduceat(np.where(hit, logs[place], 0.0), starts[:-1]))
+                score.append(np.add.reduceat(by_cell[cell(word, history, pair)], starts[:-1]))
+                for made, held in zip(rare_tokens(tokens, starts, ~hit), (rare, times, ends), strict=True):
+                    held.append(made)
             n = batch.num_rows
+            offsets = pa.array(np.append(0, np.cumsum(np.concatenate(ends))) if n else [0], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if n else [], pa.int64())) for x in (rare, times)]
             made = [
                 pa.array(np.arange(row, row + n)),
                 *[pa.array(np.concatenate(x)) if n else pa.array([], t) for x, t in ((sizes, pa.int64()), (known, pa.int64()), (base, pa.float64()), (score, pa.float64()))],
-                pa.array(rare, pa.list_(pa.int64())),
-                pa.array(times, pa.list_(pa.int64())),
+                *lists,
             ]
             names = [*batch.schema.names[:-1], "row", "n_tokens", "known", "base", "score", "rare", "times"]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + made, names=names)
@@ -452,12 +596,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     common = spark.sparkContext.broadcast((keys[order], logs[order]))
 
     shards = max(64, 2 ** int(np.ceil(np.log2(max(1, n_tokens / SHARD_TOKENS)))))
-    pairs = train.mapInArrow(count_pairs, "key bigint, n bigint").withColumn("word", F.lit(False))
-    grams = pairs.unionByName(counts.withColumn("word", F.lit(True)))
-    # The remainder of the key as an unsigned number; the number of shards is a power of two.
-    grams = grams.withColumn("shard", F.col("key").bitwiseAND(F.lit(shards - 1).cast("bigint")).cast("int"))
-    grams = grams.repartition("shard").sortWithinPartitions("shard")
-    built = staged(grams.mapInArrow(build_filter(), "shard int, bits binary"), scratch_path(spark, "filter"))
+    packets = shards if shards <= PACKED_SHARDS else max(PACKED_SHARDS, shards // SHARDS_PACKED)
+    kind = "group int, keys binary, counts binary"
+    pairs = train.mapInArrow(packed(packets, count_pairs), kind).withColumn("word", F.lit(False))
+    grams = pairs.unionByName(counts.mapInArrow(packed(packets), kind).withColumn("word", F.lit(True)))
+    grams = grams.repartition("group").sortWithinPartitions("group")
+    build, unpack = build_filter(), unpacked(shards)
+    built = staged(grams.mapInArrow(lambda batches: build(unpack(batches)), "shard int, bits binary"), scratch_path(spark, "filter"))
     size = built.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
 
     held_out, tuned = fold(id_col) == held_out_fold, fold(id_col) == tuning_fold
@@ -479,7 +624,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     weights = np.array(GRID)[table.argmax(axis=1)]
 
     schema = "doc_id bigint, held_out boolean, row bigint, n_tokens bigint, known bigint, base double, score double, rare array<bigint>, times array<bigint>"
-    scored = staged(rows.drop("tuning").mapInArrow(score_texts(source, common, weights, mass, unseen), schema), scratch_path(spark, "scores"))
+    scored = staged(rows.drop("tuning").mapInArrow(score_texts(source, common, weights, mass), schema), scratch_path(spark, "scores"))
 
     uncommon = counts.where(F.col("n") < COMMON * n_tokens).where(F.col("key") != begin)
     listed = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("key"), "w.times")

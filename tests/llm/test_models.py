@@ -172,6 +172,78 @@ def test_a_filter_too_large_to_send_gives_the_same_scores(docs_of, monkeypatch):
         assert r.score == pytest.approx(want[r.doc_id].score, rel=1e-9) and r.base_score == pytest.approx(want[r.doc_id].base_score, rel=1e-9)
 
 
+def test_positions_and_levels_equal_plain_probing():
+    """Positions are remainders at the edges too; levels are those of one key after the other, whatever is probed together."""
+    draw = np.random.default_rng(5)
+    bits = np.concatenate([np.full(300, 64), 8 * draw.integers(8, 1 << 18, 300), 8 * draw.integers(1 << 30, 1 << 40, 300)]).astype(np.uint64)
+    factor = draw.integers(0, (1 << 56) // bits, dtype=np.uint64) * bits
+    top = np.full(len(bits), (1 << 56) - 1, np.uint64)
+    for x in (factor, np.maximum(factor, np.uint64(1)) - np.uint64(1), factor + np.uint64(1), top, top // bits * bits, np.zeros_like(bits)):
+        assert (lm_score.position(x << np.uint64(8), bits, lm_score.inverse_of(bits)) == (x % bits).astype(np.int64)).all()
+
+    sizes = 64 * draw.integers(0, 40, 128)
+    offsets = np.append(0, np.cumsum(sizes // 8)[:-1])
+    data = np.packbits(draw.random(int(sizes.sum())) < 0.93)
+    keys = np.unique(lm_score.mix(np.arange(1, 70001, dtype=np.uint64)))
+
+    def plain(key):
+        start, size, mask = 8 * int(offsets[key % 128]), int(sizes[key % 128]), (1 << 64) - 1
+        for level in range(1, lm_score.LEVELS if size else 1):
+            probe = lm_score.first_probe(np.array([key], np.uint64), level)
+            first, step = int(probe[0]), int(lm_score.step_of(probe)[0])
+            at = [start + (((first + k * step) & mask) >> 8) % size for k in range(lm_score.PROBES)]
+            if not all(data[x >> 3] >> (x & 7) & 1 for x in at):
+                return level - 1
+        return lm_score.LEVELS - 1 if size else 0
+
+    found = lm_score.levels((data, offsets, sizes), keys)
+    some = draw.integers(0, len(keys), 1500)
+    assert found[some].tolist() == [plain(int(k)) for k in keys[some]] and found.max() > lm_score.LEVELS_AT_ONCE
+
+
+@pytest.mark.parametrize("groups", [64, 256])
+def test_counts_travel_in_packets_not_one_by_one(groups):
+    """A row for each group and batch meets the shuffle, however many pairs there are; all counts arrive."""
+    import pyarrow as pa
+
+    texts = pa.array(corpus(300) + ["w1 w2 " * 500])
+    batches = [pa.RecordBatch.from_arrays([x], names=["text"]) for x in (texts, texts.slice(7, 100), texts.slice(0, 0))]
+    flat = pa.Table.from_batches(lm_score.count_pairs(iter(batches))).to_pydict()
+    want = Counter()
+    for key, n in zip(flat["key"], flat["n"]):
+        want[key] += n
+    made = pa.Table.from_batches(lm_score.packed(groups, lm_score.count_pairs)(iter(batches)))
+    assert len(flat["key"]) > 5 * groups >= 5 * made.num_rows
+    rows = made.append_column("word", pa.array([False] * made.num_rows)).sort_by("group").to_batches(max_chunksize=50)
+    got, order = Counter(), []
+    for out in lm_score.unpacked(256)(iter(rows)):
+        shard, keys = out.column("shard").to_pylist(), out.column("key").to_pylist()
+        assert shard == sorted(shard) == sorted(k & 255 for k in keys) and len({s % groups for s in shard}) == 1
+        order.append(shard[0] % groups)
+        for key, n in zip(keys, out.column("n").to_pylist()):
+            got[key] += n
+    assert got == want and len(order) == len(set(order))
+
+
+def test_rare_tokens_are_those_of_each_text():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in draw.zipf(1.3, n)) for n in draw.integers(0, 2000, 300)] + [None, ""]
+    pieces = list(lm_score.tokens_of(pa.array(texts), 60000))
+    assert len(pieces) > 3 and [p[0] for p in pieces] == np.cumsum([0] + [len(p[2]) - 1 for p in pieces])[:-1].tolist()
+    assert sum(len(p[2]) - 1 for p in pieces) == len(texts)
+    for _, tokens, starts in pieces:
+        for rare in (tokens % np.uint64(3) == 0, np.zeros(len(tokens), bool), np.ones(len(tokens), bool)):
+            words_, times, sizes = lm_score.rare_tokens(tokens, starts, rare)
+            at = 0
+            for a, b, size in zip(starts[:-1], starts[1:], sizes, strict=True):
+                keys, counts = np.unique(tokens[a:b][rare[a:b]], return_counts=True)
+                assert words_[at : at + size].tolist() == keys.view(np.int64).tolist() and times[at : at + size].tolist() == counts.tolist()
+                at += size
+            assert at == len(words_)
+
+
 def test_no_rows_and_no_training_texts(docs_of):
     assert lm_scores(docs_of(["a"]).where("false")).count() == 0
     held = next(i for i in range(100) if is_held_out(i))
