@@ -33,7 +33,7 @@ SHARD_TOKENS = 1 << 16
 PACKED_SHARDS, SHARDS_PACKED = 1 << 11, 1 << 5
 """Shards up to which each has counts packed by itself, and how many larger numbers of shards share a packet."""
 PACKED_KEYS = 1 << 20
-"""Keys, at least, that are packed together, if a task has so many."""
+"""Keys, at least, that are packed together, if a task has so many; at most twice as many."""
 SCORED = 1 << 18
 """Tokens, at least, whose distinct keys are probed together, if a batch has so many."""
 PROBED, LEVELS_AT_ONCE = 1 << 15, 4
@@ -103,8 +103,12 @@ def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _totals(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys)
+    keys = keys[order]
+    counts = np.concatenate([n for _, n in parts])[order]
+    lows = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[lows], np.add.reduceat(counts, lows) if len(lows) else counts
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,10 +157,11 @@ def packed(groups: int, counted: Callable = iter) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in counted(batches):
-            held.append(batch)
-            if sum(part.num_rows for part in held) >= PACKED_KEYS:
-                yield packets(held)
-                held = []
+            for low in range(0, batch.num_rows, PACKED_KEYS):
+                held.append(batch.slice(low, PACKED_KEYS))
+                if sum(part.num_rows for part in held) >= PACKED_KEYS:
+                    yield packets(held)
+                    held = []
         if held:
             yield packets(held)
 
